@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
-from tillstream.functions.money import VAT_RATE, exact_sum, round_half_away, vat_part
+from tillstream.functions.money import VAT_RATE, basket_amounts, exact_sum, round_half_away
 from tillstream.operators.skew import join_on_unique, split_hot
 from tillstream.schemas import ITEM
 from tillstream.session import shared_dir
@@ -17,15 +17,15 @@ def price_lines(df: DataFrame, price: str = "price", quantity: str = "quantity")
     return df.withColumn("subtotal", round_half_away(F.col(price) * F.col(quantity)))
 
 
+def gross_amount(over: WindowSpec | None = None) -> Column:
+    """Unrounded basket amount: the sum of price x quantity over its lines."""
+    return exact_sum(F.col("price") * F.col("quantity"), over)
+
+
 def basket_totals(lines: DataFrame, key: str, rate: float = VAT_RATE, *measures: Column) -> DataFrame:
     """Total, VAT and nett per basket. Lines are summed unrounded; each figure is rounded once."""
-    sums = lines.groupBy(key).agg(exact_sum(F.col("price") * F.col("quantity")).alias("gross"), *measures)
-    vat = vat_part(F.col("gross"), rate)
-    return sums.withColumns({
-        "total": round_half_away(F.col("gross")),
-        "vat": round_half_away(vat),
-        "nett": round_half_away(F.col("gross") - vat),
-    }).drop("gross")
+    sums = lines.groupBy(key).agg(gross_amount().alias("gross"), *measures)
+    return sums.withColumns(basket_amounts(F.col("gross"), rate)).drop("gross")
 
 
 def with_positions(lines: DataFrame, key: str, order: list[str], hot: DataFrame | None = None) -> DataFrame:
@@ -42,6 +42,17 @@ def with_positions(lines: DataFrame, key: str, order: list[str], hot: DataFrame
     return rest.withColumn("pos", pos).unionByName(_positions_by_range(large, key, order))
 
 
+def with_gross(lines: DataFrame, key: str, hot: DataFrame | None = None) -> DataFrame:
+    """Add ``gross``, the unrounded basket amount, to every line. After ``with_positions`` it takes
+    no further shuffle, which is cheaper than summing in a second pass and joining the sums."""
+    over = Window.partitionBy(key)
+    if hot is None:
+        return lines.withColumn("gross", gross_amount(over))
+    large, rest = split_hot(lines, key, hot)
+    sums = large.groupBy(key).agg(gross_amount().alias("gross"))  # one row per hot key
+    return rest.withColumn("gross", gross_amount(over)).unionByName(large.join(F.broadcast(sums), key))
+
+
 def _positions_by_range(lines: DataFrame, key: str, order: list[str]) -> DataFrame:
     # The row number as last sort column lets the range partitioner cut through runs of equal lines.
     # The checkpoint fixes which row is in which piece, so both uses below see the same pieces.
@@ -66,21 +77,25 @@ def _positions_by_range(lines: DataFrame, key: str, order: list[str]) -> DataFra
 
 
 def item_arrays(lines: DataFrame, key: str, max_items: int = MAX_ITEMS) -> DataFrame:
-    """``basketItems`` per basket from positioned lines, in parts of at most ``max_items`` lines.
+    """``basketItems`` and ``gross`` per basket from lines with ``pos`` and ``gross``, in parts.
 
-    Nearly every basket is one part (``basketPart`` 0). The bound keeps a basket of any size from
-    becoming one row. Part n starts at line ``n * max_items``.
+    A part has at most ``max_items`` lines; part n starts at line ``n * max_items``. Nearly every
+    basket is one part (``basketPart`` 0). The bound keeps a basket of any size from becoming one row.
     """
     item = F.struct("pos", *(F.col(f.name).cast(f.dataType).alias(f.name) for f in ITEM.fields))
     return (
         lines.withColumn("basketPart", F.call_function("div", F.col("pos"), F.lit(max_items)))
         .groupBy(key, "basketPart")
-        .agg(F.sort_array(F.collect_list(item)).alias("_items"))
-        .select(key, "basketPart", F.transform("_items", lambda i: i.dropFields("pos")).alias("basketItems"))
+        .agg(F.sort_array(F.collect_list(item)).alias("_items"), F.first("gross").alias("gross"))
+        .select(key, "basketPart", "gross", F.transform("_items", lambda i: i.dropFields("pos")).alias("basketItems"))
     )
 
 
 def assemble_baskets(headers: DataFrame, lines: DataFrame, key: str, hot: DataFrame | None = None,
-                     max_items: int = MAX_ITEMS) -> DataFrame:
-    """Nested baskets: one header row per basket joined to its item array(s). Baskets without lines drop out."""
-    return join_on_unique(item_arrays(lines, key, max_items), headers, key, hot)
+                     rate: float = VAT_RATE, max_items: int = MAX_ITEMS) -> DataFrame:
+    """Nested baskets with their amounts: a header row per basket and its lines (with ``pos`` and ``gross``).
+
+    Baskets without lines drop out.
+    """
+    baskets = join_on_unique(item_arrays(lines, key, max_items), headers, key, hot)
+    return baskets.withColumns(basket_amounts(F.col("gross"), rate)).drop("gross")

@@ -14,15 +14,17 @@ MIN_ROWS = 5_000_000  # below this many rows a key fits one task whatever its sh
 def hot_keys(df: DataFrame, key: str, min_rows: int = MIN_ROWS) -> DataFrame | None:
     """Keys with so many rows that one task should not hold them all, or None when there are none.
 
-    The first pass counts rows per key *hash*, so what reaches the driver is at most ``BUCKETS``
-    small rows however many keys there are. Only when one of those buckets is far over the mean
-    are its keys counted one by one. A hot key has over ``SHARE / BUCKETS`` of all rows, so the
-    result never has more than ``BUCKETS / SHARE`` (8,192) rows and may be broadcast.
+    The first pass counts rows per key *hash*: one small row per bucket, however many keys there
+    are. Only when a bucket is far over the mean are its keys counted one by one. A hot key has
+    over ``SHARE / BUCKETS`` of all rows, so the result never has more than ``BUCKETS / SHARE``
+    (8,192) rows and may be broadcast.
     """
     bucket = F.pmod(F.hash(key), F.lit(BUCKETS))
-    counts = df.groupBy(bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("n")).collect()
-    limit = max(min_rows, math.ceil(SHARE * sum(r["n"] for r in counts) / BUCKETS))
-    suspects = [r["bucket"] for r in counts if r["n"] > limit]
+    counts = df.groupBy(bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+    large = F.when(F.col("n") > min_rows, F.struct("bucket", "n"))
+    found = counts.agg(F.sum("n").alias("total"), F.collect_list(large).alias("large")).first()
+    limit = max(min_rows, math.ceil(SHARE * (found["total"] or 0) / BUCKETS))
+    suspects = [r["bucket"] for r in found["large"] if r["n"] > limit]
     if not suspects:
         return None
     keys = (

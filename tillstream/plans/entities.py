@@ -2,134 +2,155 @@
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tillstream.functions.event_time import epoch_seconds, millis_to_seconds, time_label
-from tillstream.operators.lines import assemble_baskets, basket_totals, price_lines, with_positions
+from tillstream.functions.event_time import millis_to_seconds, time_label
+from tillstream.operators.changes import live_rows
+from tillstream.operators.completed import sales_completed
+from tillstream.operators.lines import assemble_baskets, basket_totals, price_lines, with_gross, with_positions
 from tillstream.operators.skew import hot_keys
+from tillstream.session import scratch_dir
 
 LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity"]
 OFFSET_MINUTES = 120
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def hot_orders(spark: SparkSession, sf_dir: str) -> DataFrame | None:
-    """Orders with too many lines for one task (a pass over one column)."""
-    return hot_keys(table(spark, sf_dir, "lineitem"), "l_orderkey")
-
-
-def products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "part").select(
-        "p_partkey", F.col("p_partkey").cast("string").alias("id"), F.col("p_name").alias("name"),
-        F.col("p_brand").alias("brand"), F.col("p_type").alias("category"), F.col("p_retailprice").alias("price"),
-    )
-
-
-def priced_lines(spark: SparkSession, sf_dir: str, hot: DataFrame | None = None,
-                 positions: bool = False) -> DataFrame:
-    """Basket lines with their product and subtotal, and ``pos`` when asked for."""
-    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", *LINE_ORDER)
-    quantity = F.col("l_quantity").cast("int").alias("quantity")
-    if positions and hot is not None:
-        # Ranked before the product join: the range sort needs a plain scan as its input.
-        lines = with_positions(lines, "l_orderkey", LINE_ORDER, hot)
-    keep = [c for c in lines.columns if c != "l_quantity"]
-    out = lines.join(products(spark, sf_dir), F.col("l_partkey") == F.col("p_partkey")).select(
-        *keep, "l_quantity", "id", "name", "brand", "category", "price", quantity)
-    if positions and hot is None:
-        out = with_positions(out, "l_orderkey", LINE_ORDER)
-    return price_lines(out).drop(*LINE_ORDER)
-
-
-def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sale headers; milliseconds are non-zero on purpose, event time must cut them off."""
-    day = F.datediff(F.col("o_orderdate").cast("date"), F.lit("1970-01-01").cast("date")).cast("bigint")
-    key = F.col("o_orderkey")
-    return table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey",
-        (day * 86400000 + key * 7919 % 86400 * 1000 + key % 1000).alias("sale_ms"),
-    )
-
-
-def _totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return basket_totals(priced_lines(spark, sf_dir), "l_orderkey").withColumnRenamed("l_orderkey", "o_orderkey")
-
-
-def headers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Basket headers: everything but the item array."""
-    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
-    stores = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    key = F.col("o_orderkey")
-    return (
-        sales(spark, sf_dir).join(_totals(spark, sf_dir), "o_orderkey")
-        .join(customers, F.col("o_custkey") == F.col("c_custkey"))
-        .join(stores, F.col("c_nationkey") == F.col("n_nationkey"))
-        .select(
-            "o_orderkey", key.cast("string").alias("invoiceNumber"),
-            time_label(F.col("sale_ms"), OFFSET_MINUTES).alias("saleDateTime_Ltz"),
-            F.col("sale_ms").cast("string").alias("saleTimestamp_Epoc"),
-            (key % 20 + 1).cast("string").alias("terminalPoint"), "nett", "vat", "total",
-            F.struct(F.col("n_nationkey").cast("string").alias("id"), F.col("n_name").alias("name")).alias("store"),
-            F.struct(F.col("c_custkey").cast("string").alias("id"), F.col("c_name").alias("name"),
-                     F.col("c_mktsegment").alias("surname")).alias("clerk"),
+class Retail:
+    """Entities over one folder of tables, each built at most once per query."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir = spark, sf_dir
+        self._tables: dict[str, DataFrame] = {}
+
+    def table(self, name: str) -> DataFrame:
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._tables[name]
+
+    def scratch(self, name: str) -> str:
+        return scratch_dir(self.spark, name)
+
+    @cached_property
+    def hot_orders(self) -> DataFrame | None:
+        """Orders with too many lines for one task (a pass over one column)."""
+        return hot_keys(self.table("lineitem"), "l_orderkey")
+
+    @property
+    def hot_invoices(self) -> DataFrame | None:
+        hot = self.hot_orders
+        return None if hot is None else hot.select(F.col("l_orderkey").cast("string").alias("invoiceNumber"))
+
+    def _with_products(self, lines: DataFrame) -> DataFrame:
+        products = self.table("part").select(
+            "p_partkey", F.col("p_partkey").cast("string").alias("id"), F.col("p_name").alias("name"),
+            F.col("p_brand").alias("brand"), F.col("p_type").alias("category"), F.col("p_retailprice").alias("price"),
         )
-    )
-
-
-def baskets(spark: SparkSession, sf_dir: str, hot: DataFrame | None = None) -> DataFrame:
-    """Nested baskets. ``hot`` are the orders from :func:`hot_orders`."""
-    lines = priced_lines(spark, sf_dir, hot, positions=True).withColumnRenamed("l_orderkey", "o_orderkey")
-    renamed = None if hot is None else hot.withColumnRenamed("l_orderkey", "o_orderkey")
-    return assemble_baskets(headers(spark, sf_dir), lines, "o_orderkey", renamed).drop("o_orderkey")
-
-
-def hot_invoices(hot: DataFrame | None) -> DataFrame | None:
-    return None if hot is None else hot.select(F.col("l_orderkey").cast("string").alias("invoiceNumber"))
-
-
-def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """First payment of each sale: a tenth is unpaid, some are paid in the sale second or two hours late."""
-    key = F.col("o_orderkey")
-    lag = key * 31 % 360
-    created = (F.when(key % 17 == 0, 0).when(key % 19 == 0, 7200).otherwise(lag + 1))
-    pay_ms = F.col("sale_ms") + lag * 1000
-    return (
-        sales(spark, sf_dir).where(key % 10 != 0)
-        .join(_totals(spark, sf_dir).select("o_orderkey", "total"), "o_orderkey")
-        .select(
-            "o_orderkey", key.cast("string").alias("invoiceNumber"),
-            time_label(pay_ms, OFFSET_MINUTES).alias("payDateTime_Ltz"),
-            pay_ms.cast("string").alias("payTimestamp_Epoc"), F.col("total").alias("paid"),
-            F.concat(F.lit("txn-"), key.cast("string")).alias("finTransactionId"),
-            F.timestamp_seconds(millis_to_seconds(F.col("sale_ms")) + created).alias("created_at"),
+        return lines.join(products, F.col("l_partkey") == F.col("p_partkey")).drop("p_partkey").withColumn(
+            "quantity", F.col("l_quantity").cast("int"))
+
+    @cached_property
+    def lines(self) -> DataFrame:
+        """Basket lines with their product and subtotal."""
+        lines = self.table("lineitem").select("l_orderkey", *LINE_ORDER)
+        return price_lines(self._with_products(lines)).drop(*LINE_ORDER)
+
+    @cached_property
+    def placed_lines(self) -> DataFrame:
+        """Basket lines with their place in the basket and the basket's gross amount."""
+        lines, hot = self.table("lineitem").select("l_orderkey", *LINE_ORDER), self.hot_orders
+        if hot is None:
+            placed = with_positions(self._with_products(lines), "l_orderkey", LINE_ORDER)
+        else:  # ranked before the product join: the range sort needs a plain scan as its input
+            placed = self._with_products(with_positions(lines, "l_orderkey", LINE_ORDER, hot))
+        return price_lines(with_gross(placed, "l_orderkey", hot)).drop(*LINE_ORDER)
+
+    @cached_property
+    def sales(self) -> DataFrame:
+        """Sale headers; milliseconds are non-zero on purpose, event time must cut them off."""
+        day = F.datediff(F.col("o_orderdate").cast("date"), F.lit("1970-01-01").cast("date")).cast("bigint")
+        key = F.col("o_orderkey")
+        return self.table("orders").select(
+            "o_orderkey", "o_custkey",
+            (day * 86400000 + key * 7919 % 86400 * 1000 + key % 1000).alias("sale_ms"),
         )
-    )
-
-
-def payment_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Changelog of payments: an insert each, some updates (paid + 1) and some deletes."""
-    key = F.col("o_orderkey")
-    base = key * 10
-    change = F.array_compact(F.array(
-        F.struct(F.lit("I").alias("op"), base.alias("seq"), F.col("paid").alias("amount")),
-        F.when(key % 23 == 0, F.struct(F.lit("U").alias("op"), (base + 1).alias("seq"),
-                                       (F.col("paid") + 1).alias("amount"))),
-        F.when(key % 29 == 0, F.struct(F.lit("D").alias("op"), (base + 2).alias("seq"),
-                                       F.col("paid").alias("amount"))),
-    ))
-    return payments(spark, sf_dir).withColumn("change", F.explode(change)).select(
-        "invoiceNumber", "payDateTime_Ltz", "payTimestamp_Epoc", F.col("change.amount").alias("paid"),
-        "finTransactionId", "created_at", F.col("change.op").alias("op"), F.col("change.seq").alias("seq"),
-    )
+
+    @cached_property
+    def headers(self) -> DataFrame:
+        """Basket headers: everything but the item array and the amounts that follow from it."""
+        customers = self.table("customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+        stores = self.table("nation").select("n_nationkey", "n_name")
+        key = F.col("o_orderkey")
+        return (
+            self.sales
+            .join(customers, F.col("o_custkey") == F.col("c_custkey"))
+            .join(stores, F.col("c_nationkey") == F.col("n_nationkey"))
+            .select(
+                "o_orderkey", key.cast("string").alias("invoiceNumber"),
+                time_label(F.col("sale_ms"), OFFSET_MINUTES).alias("saleDateTime_Ltz"),
+                F.col("sale_ms").cast("string").alias("saleTimestamp_Epoc"),
+                (key % 20 + 1).cast("string").alias("terminalPoint"),
+                F.struct(F.col("n_nationkey").cast("string").alias("id"), F.col("n_name").alias("name")).alias("store"),
+                F.struct(F.col("c_custkey").cast("string").alias("id"), F.col("c_name").alias("name"),
+                         F.col("c_mktsegment").alias("surname")).alias("clerk"),
+            )
+        )
+
+    @cached_property
+    def baskets(self) -> DataFrame:
+        """Nested baskets."""
+        lines, hot = self.placed_lines.withColumnRenamed("l_orderkey", "o_orderkey"), self.hot_orders
+        hot = None if hot is None else hot.withColumnRenamed("l_orderkey", "o_orderkey")
+        return assemble_baskets(self.headers, lines, "o_orderkey", hot).drop("o_orderkey")
+
+    @cached_property
+    def payments(self) -> DataFrame:
+        """First payment of each sale: a tenth is unpaid, some are paid in the sale second or two hours late."""
+        totals = basket_totals(self.lines, "l_orderkey").select(F.col("l_orderkey").alias("o_orderkey"), "total")
+        key = F.col("o_orderkey")
+        lag = key * 31 % 360
+        created = F.when(key % 17 == 0, 0).when(key % 19 == 0, 7200).otherwise(lag + 1)
+        pay_ms = F.col("sale_ms") + lag * 1000
+        return (
+            self.sales.where(key % 10 != 0).join(totals, "o_orderkey")
+            .select(
+                "o_orderkey", key.cast("string").alias("invoiceNumber"),
+                time_label(pay_ms, OFFSET_MINUTES).alias("payDateTime_Ltz"),
+                pay_ms.cast("string").alias("payTimestamp_Epoc"), F.col("total").alias("paid"),
+                F.concat(F.lit("txn-"), key.cast("string")).alias("finTransactionId"),
+                F.timestamp_seconds(millis_to_seconds(F.col("sale_ms")) + created).alias("created_at"),
+            )
+        )
+
+    @cached_property
+    def payment_changes(self) -> DataFrame:
+        """Changelog of payments: an insert each, some updates (paid + 1) and some deletes."""
+        key = F.col("o_orderkey")
+        base = key * 10
+        change = F.array_compact(F.array(
+            F.struct(F.lit("I").alias("op"), base.alias("seq"), F.col("paid").alias("amount")),
+            F.when(key % 23 == 0, F.struct(F.lit("U").alias("op"), (base + 1).alias("seq"),
+                                           (F.col("paid") + 1).alias("amount"))),
+            F.when(key % 29 == 0, F.struct(F.lit("D").alias("op"), (base + 2).alias("seq"),
+                                           F.col("paid").alias("amount"))),
+        ))
+        return self.payments.withColumn("change", F.explode(change)).select(
+            "invoiceNumber", "payDateTime_Ltz", "payTimestamp_Epoc", F.col("change.amount").alias("paid"),
+            "finTransactionId", "created_at", F.col("change.op").alias("op"), F.col("change.seq").alias("seq"),
+        )
+
+    @cached_property
+    def live_payments(self) -> DataFrame:
+        """Payments after all changes."""
+        return live_rows(self.payment_changes, ["invoiceNumber"], ["seq"])
+
+    @cached_property
+    def completed(self) -> DataFrame:
+        """Completed sales after all changes."""
+        return sales_completed(self.baskets, self.live_payments, self.hot_invoices)
 
 
 def created_seconds(df: DataFrame) -> DataFrame:
     """``created_at`` as epoch seconds, comparable across engines and time zones."""
     return df.withColumn("created_s", F.unix_seconds("created_at")).drop("created_at")
-
-
-def sale_seconds(df: DataFrame) -> DataFrame:
-    return df.withColumn("sale_s", epoch_seconds(F.col("saleTimestamp_Epoc")))

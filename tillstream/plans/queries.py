@@ -1,4 +1,4 @@
-"""Every registered query: (session, folder with the given tables) -> DataFrame with flat columns."""
+"""Every registered query over the entities of a folder of tables; results have flat columns."""
 
 from __future__ import annotations
 
@@ -15,7 +15,7 @@ from tillstream.operators.completed import (
 )
 from tillstream.operators.lines import basket_totals
 from tillstream.operators.unnest import collapse_lines, unnest_lines, unnest_sales
-from tillstream.plans import entities
+from tillstream.plans.entities import Retail, created_seconds
 from tillstream.plans.pipeline import (
     COMPLETED_CHANGE, PART, PAYMENT_CHANGE, Pipeline, completed_table, payments_table, unnested_table,
 )
@@ -23,7 +23,6 @@ from tillstream.schemas import (
     BASKET, PAYMENT_MESSAGE, PAYMENT_ROW_MYSQL, PAYMENT_ROW_POSTGRES, POSTGRES_NAMES, UNNESTED, UNNESTED_KEY,
     UNNESTED_SALES, change_envelope,
 )
-from tillstream.session import scratch_dir
 from tillstream.sinks import catalog, documents
 from tillstream.sinks import topics as out_topics
 from tillstream.sinks.keyed_table import KeyedTable
@@ -59,41 +58,37 @@ def _flat_completed(df: DataFrame) -> DataFrame:
 
 
 def _flat_payments(df: DataFrame) -> DataFrame:
-    return entities.created_seconds(df)
+    return created_seconds(df)
 
 
 # ---- expressions and basket arithmetic --------------------------------------------------------
 
-def epoch_event_time(spark: SparkSession, sf: str) -> DataFrame:
+def epoch_event_time(r: Retail) -> DataFrame:
     epoch = F.col("sale_ms").cast("string")
-    return entities.sales(spark, sf).select(
+    return r.sales.select(
         F.col("o_orderkey").cast("string").alias("invoiceNumber"), epoch.alias("saleTimestamp_Epoc"),
         F.unix_seconds(event_time(epoch)).alias("event_s"), utc_wall_clock(epoch_seconds(epoch)).alias("event_utc"))
 
 
-def payments_projection(spark: SparkSession, sf: str) -> DataFrame:
-    return entities.payments(spark, sf).select(*PAYMENT_MESSAGE.names)
+def payments_projection(r: Retail) -> DataFrame:
+    return r.payments.select(*PAYMENT_MESSAGE.names)
 
 
-def line_subtotals(spark: SparkSession, sf: str) -> DataFrame:
-    return entities.priced_lines(spark, sf).select(
+def line_subtotals(r: Retail) -> DataFrame:
+    return r.lines.select(
         F.col("l_orderkey").cast("string").alias("invoiceNumber"),
         "id", "name", "brand", "category", "price", "quantity", "subtotal")
 
 
-def basket_totals_query(spark: SparkSession, sf: str) -> DataFrame:
+def basket_totals_query(r: Retail) -> DataFrame:
     count = F.count(F.lit(1)).alias("n_items")
-    totals = basket_totals(entities.priced_lines(spark, sf), "l_orderkey", 0.14, count)
+    totals = basket_totals(r.lines, "l_orderkey", 0.14, count)
     return totals.select(F.col("l_orderkey").cast("string").alias("invoiceNumber"),
                          "n_items", "nett", "vat", "total")
 
 
-def _baskets(spark: SparkSession, sf: str) -> DataFrame:
-    return entities.baskets(spark, sf, entities.hot_orders(spark, sf))
-
-
-def basket_assembly(spark: SparkSession, sf: str) -> DataFrame:
-    return _flat_baskets(_baskets(spark, sf))
+def basket_assembly(r: Retail) -> DataFrame:
+    return _flat_baskets(r.baskets)
 
 
 # ---- change capture ---------------------------------------------------------------------------
@@ -108,35 +103,30 @@ def _envelopes(changes: DataFrame, row: F.Column) -> DataFrame:
         F.when(gone, nothing).otherwise(row).alias("after"), "seq")).alias("value"))
 
 
-def cdc_normalize(spark: SparkSession, sf: str) -> DataFrame:
+def cdc_normalize(r: Retail) -> DataFrame:
     wall_millis = (F.unix_seconds("created_at") + 7200) * 1000
     row = F.struct(*PAYMENT_MESSAGE.names, wall_millis.alias("created_at"))
-    messages = _envelopes(entities.payment_changes(spark, sf), row)
+    messages = _envelopes(r.payment_changes, row)
     decoded = in_topics.decode_messages(messages, in_topics.json_decoder(change_envelope(PAYMENT_ROW_MYSQL)))
     return _flat_payments(payments_from_mysql(decoded, "+02:00"))
 
 
-def cdc_normalize_pg(spark: SparkSession, sf: str) -> DataFrame:
+def cdc_normalize_pg(r: Retail) -> DataFrame:
     lower = [F.col(name).alias(old) for old, name in POSTGRES_NAMES.items()]
     utc = F.concat(F.translate(utc_wall_clock(F.unix_seconds("created_at")).cast("string"), " ", "T"), F.lit("Z"))
     row = F.struct(*lower, F.col("paid").cast("decimal(10,2)").alias("paid"), utc.alias("created_at"))
-    messages = _envelopes(entities.payment_changes(spark, sf), row)
+    messages = _envelopes(r.payment_changes, row)
     decoded = in_topics.decode_messages(messages, in_topics.json_decoder(change_envelope(PAYMENT_ROW_POSTGRES)))
     return _flat_payments(payments_from_postgres(decoded))
 
 
-def _live_payments(spark: SparkSession, sf: str) -> DataFrame:
-    return live_rows(entities.payment_changes(spark, sf), ["invoiceNumber"], ["seq"])
-
+def cdc_latest(r: Retail) -> DataFrame:
+    return _flat_payments(r.live_payments)
 
-def cdc_latest(spark: SparkSession, sf: str) -> DataFrame:
-    return _flat_payments(_live_payments(spark, sf))
 
-
-def payments_direct(spark: SparkSession, sf: str) -> DataFrame:
-    hot = entities.hot_orders(spark, sf)
-    direct = direct_payments(entities.payments(spark, sf).select(*PAYMENT_MESSAGE.names))
-    done = sales_completed(entities.baskets(spark, sf, hot), direct, entities.hot_invoices(hot))
+def payments_direct(r: Retail) -> DataFrame:
+    direct = direct_payments(r.payments.select(*PAYMENT_MESSAGE.names))
+    done = sales_completed(r.baskets, direct, r.hot_invoices)
     counts = direct.select(F.lit(1).alias("payment"), F.lit(0).alias("completed")).unionAll(
         done.select(F.lit(0), F.lit(1)))
     return counts.agg(F.sum("payment").alias("payments"), F.sum("completed").alias("completed"))
@@ -144,100 +134,94 @@ def payments_direct(spark: SparkSession, sf: str) -> DataFrame:
 
 # ---- joins ------------------------------------------------------------------------------------
 
-def _completed(spark: SparkSession, sf: str) -> DataFrame:
-    hot = entities.hot_orders(spark, sf)
-    return sales_completed(entities.baskets(spark, sf, hot), _live_payments(spark, sf), entities.hot_invoices(hot))
-
-
-def sales_completed_query(spark: SparkSession, sf: str) -> DataFrame:
-    return _flat_completed(_completed(spark, sf))
+def sales_completed_query(r: Retail) -> DataFrame:
+    return _flat_completed(r.completed)
 
 
-def sales_completed_1h(spark: SparkSession, sf: str) -> DataFrame:
-    hot = entities.hot_orders(spark, sf)
+def sales_completed_1h(r: Retail) -> DataFrame:
     return _flat_completed(sales_completed_within(
-        entities.baskets(spark, sf, hot), _live_payments(spark, sf), hot=entities.hot_invoices(hot)))
+        r.baskets, r.live_payments, hot=r.hot_invoices))
 
 
-def sales_completed_changelog(spark: SparkSession, sf: str) -> DataFrame:
-    changes = completed_changes(_baskets(spark, sf), entities.payment_changes(spark, sf))
+def sales_completed_changelog(r: Retail) -> DataFrame:
+    changes = completed_changes(r.baskets, r.payment_changes)
     return _flat_completed(live_completed(changes))
 
 
 # ---- arrays -----------------------------------------------------------------------------------
 
-def unnested_sales(spark: SparkSession, sf: str) -> DataFrame:
-    return unnest_lines(_completed(spark, sf))
+def unnested_sales(r: Retail) -> DataFrame:
+    return unnest_lines(r.completed)
 
 
-def unnested_sales_upsert(spark: SparkSession, sf: str) -> DataFrame:
-    return collapse_lines(unnest_sales(_completed(spark, sf)))
+def unnested_sales_upsert(r: Retail) -> DataFrame:
+    return collapse_lines(unnest_sales(r.completed))
 
 
 # ---- tables and files: written, then read back ------------------------------------------------
 
-def _database(spark: SparkSession) -> str:
-    location = scratch_dir(spark, "lakehouse")
+def _database(r: Retail) -> str:
+    location = r.scratch("lakehouse")
     name = "till_" + location.rsplit("-", 1)[1]
-    catalog.create_database(spark, name, location)
+    catalog.create_database(r.spark, name, location)
     return name
 
 
-def ctas_baskets(spark: SparkSession, sf: str) -> DataFrame:
-    name = f"{_database(spark)}.t_salesbaskets"
-    catalog.create_table_as(_baskets(spark, sf).select(*BASKET.names), name)
-    return _flat_baskets(spark.table(name))
+def ctas_baskets(r: Retail) -> DataFrame:
+    name = f"{_database(r)}.t_salesbaskets"
+    catalog.create_table_as(r.baskets.select(*BASKET.names), name)
+    return _flat_baskets(r.spark.table(name))
 
 
-def ctas_payments(spark: SparkSession, sf: str) -> DataFrame:
-    name = f"{_database(spark)}.t_salespayments"
-    catalog.create_table_as(_live_payments(spark, sf).select(*PAYMENT_MESSAGE.names), name)
-    return spark.table(name)
+def ctas_payments(r: Retail) -> DataFrame:
+    name = f"{_database(r)}.t_salespayments"
+    catalog.create_table_as(r.live_payments.select(*PAYMENT_MESSAGE.names), name)
+    return r.spark.table(name)
 
 
-def ctas_completed(spark: SparkSession, sf: str) -> DataFrame:
-    name = f"{_database(spark)}.t_salescompleted"
-    catalog.create_table_as(_completed(spark, sf).drop("basketPart"), name)
-    return _flat_completed(spark.table(name))
+def ctas_completed(r: Retail) -> DataFrame:
+    name = f"{_database(r)}.t_salescompleted"
+    catalog.create_table_as(r.completed.drop("basketPart"), name)
+    return _flat_completed(r.spark.table(name))
 
 
-def table_unnested(spark: SparkSession, sf: str) -> DataFrame:
+def table_unnested(r: Retail) -> DataFrame:
     """Keyed table: written in two batches of changes, compacted in between, then copied by name."""
-    table = unnested_table(spark, scratch_dir(spark, "unnested"))
-    items = unnest_sales(_completed(spark, sf).withColumns({"op": F.lit("U"), "seq": F.lit(1).cast("bigint")}),
+    table = unnested_table(r.spark, r.scratch("unnested"))
+    items = unnest_sales(r.completed.withColumns({"op": F.lit("U"), "seq": F.lit(1).cast("bigint")}),
                          ["op", "seq"])
     table.write_segment(items, 0)
     table.compact(0)
     table.write_segment(table.read().where(F.hash("invoicenumber") % 2 == 0).withColumn("seq", F.col("seq") + 1), 1)
-    name = f"{_database(spark)}.t_unnested_sales"
-    catalog.create_table(spark, name, UNNESTED_SALES)
+    name = f"{_database(r)}.t_unnested_sales"
+    catalog.create_table(r.spark, name, UNNESTED_SALES)
     swapped = table.read().select(*UNNESTED_KEY[:3], "product", "brand", *UNNESTED.names[5:])
     catalog.insert_by_name(swapped, name)
-    return spark.table(name)
+    return r.spark.table(name)
 
 
-def json_spool_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
-    path = scratch_dir(spark, "spool")
-    documents.write_spool(_baskets(spark, sf).select(*BASKET.names), path)
-    return _flat_baskets(spool.read_spool(spark, path, BASKET))
+def json_spool_roundtrip(r: Retail) -> DataFrame:
+    path = r.scratch("spool")
+    documents.write_spool(r.baskets.select(*BASKET.names), path)
+    return _flat_baskets(spool.read_spool(r.spark, path, BASKET))
 
 
-def export_documents(spark: SparkSession, sf: str) -> DataFrame:
-    path = scratch_dir(spark, "documents")
-    documents.write_documents(entities.payments(spark, sf).select(*PAYMENT_MESSAGE.names), path)
-    return spool.read_documents(spark, path, PAYMENT_MESSAGE)
+def export_documents(r: Retail) -> DataFrame:
+    path = r.scratch("documents")
+    documents.write_documents(r.payments.select(*PAYMENT_MESSAGE.names), path)
+    return spool.read_documents(r.spark, path, PAYMENT_MESSAGE)
 
 
-def publish_json(spark: SparkSession, sf: str) -> DataFrame:
-    baskets = _baskets(spark, sf).select(*BASKET.names)
+def publish_json(r: Retail) -> DataFrame:
+    baskets = r.baskets.select(*BASKET.names)
     messages = out_topics.append_messages(baskets, F.col("store.name"), out_topics.json_encoder())
     decoded = in_topics.decode_messages(messages, in_topics.json_decoder(BASKET))
     return _flat_baskets(decoded)
 
 
-def upsert_topic(spark: SparkSession, sf: str) -> DataFrame:
+def upsert_topic(r: Retail) -> DataFrame:
     """Payment changes as messages of a keyed topic, deletes without value, and back to current rows."""
-    changes = entities.created_seconds(entities.payment_changes(spark, sf))
+    changes = created_seconds(r.payment_changes)
     schema = T.StructType([*PAYMENT_MESSAGE.fields, T.StructField("created_s", T.LongType())])
     messages = out_topics.upsert_messages(changes, ["invoiceNumber"], out_topics.json_encoder())
     stored = messages.withColumnRenamed("seq", "offset")
@@ -250,15 +234,15 @@ def upsert_topic(spark: SparkSession, sf: str) -> DataFrame:
 SEED_ENTRIES = 1000  # entries of one seed document
 
 
-def _seed_documents(spark: SparkSession, sf: str) -> str:
+def _seed_documents(r: Retail) -> str:
     """Stores, clerks and products of the given tables as seed documents of bounded size."""
     def entries(df: DataFrame, number: str, kind: str, *cols: F.Column) -> DataFrame:
         chunk = F.call_function("div", F.col(number), F.lit(SEED_ENTRIES))
         listed = df.groupBy(chunk.alias("chunk")).agg(F.collect_list(F.struct(*cols)).alias(kind))
         return listed.select(F.to_json(F.struct(kind)).alias("value"))
 
-    nation, customer, part = (entities.table(spark, sf, t) for t in ("nation", "customer", "part"))
-    path = scratch_dir(spark, "seed")
+    nation, customer, part = (r.table(t) for t in ("nation", "customer", "part"))
+    path = r.scratch("seed")
     text = F.col
     entries(nation, "n_nationkey", "Stores", text("n_nationkey").cast("string").alias("id"),
             text("n_name").alias("name")).write.mode("append").text(path)
@@ -271,8 +255,8 @@ def _seed_documents(spark: SparkSession, sf: str) -> str:
     return path
 
 
-def seed_dims(spark: SparkSession, sf: str) -> DataFrame:
-    seed = spool.read_seed(spark, _seed_documents(spark, sf), multi_line=False)
+def seed_dims(r: Retail) -> DataFrame:
+    seed = spool.read_seed(r.spark, _seed_documents(r), multi_line=False)
     empty = {c: F.lit(None).cast("string") for c in ("surname", "storeId", "brand", "category")}
     price = F.lit(None).cast("double")
     stores = seed["stores"].withColumns({"kind": F.lit("store"), **empty, "price": price})
@@ -283,10 +267,10 @@ def seed_dims(spark: SparkSession, sf: str) -> DataFrame:
     return stores.unionByName(clerks).unionByName(products)
 
 
-def seed_lookup(spark: SparkSession, sf: str) -> DataFrame:
+def seed_lookup(r: Retail) -> DataFrame:
     """Basket lines that name only a product id, completed from the seed documents."""
-    seed = spool.read_seed(spark, _seed_documents(spark, sf), multi_line=False)
-    lines = entities.table(spark, sf, "lineitem").select(
+    seed = spool.read_seed(r.spark, _seed_documents(r), multi_line=False)
+    lines = r.table("lineitem").select(
         F.col("l_orderkey").cast("string").alias("invoiceNumber"), F.col("l_partkey").cast("string").alias("product_id"),
         F.col("l_quantity").cast("int").alias("quantity"))
     return spool.lookup(lines, seed["products"], "product_id")
@@ -294,87 +278,87 @@ def seed_lookup(spark: SparkSession, sf: str) -> DataFrame:
 
 # ---- streams ----------------------------------------------------------------------------------
 
-def _arrivals(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+def _arrivals(r: Retail, df: DataFrame, name: str) -> DataFrame:
     """Store rows as files and read them as a stream that takes them in about three batches."""
-    path = scratch_dir(spark, name)
+    path = r.scratch(name)
     cut = F.pmod(F.xxhash64("invoiceNumber"), F.lit(SLICES)).alias("slice")
     df.select("*", cut).write.partitionBy("slice").parquet(path)
-    files = len(spark.read.parquet(path).inputFiles())
-    return read_files(spark, path, df.schema, -(-files // SLICES))
+    files = len(r.spark.read.parquet(path).inputFiles())
+    return read_files(r.spark, path, df.schema, -(-files // SLICES))
 
 
-def _streamed_baskets(spark: SparkSession, sf: str) -> DataFrame:
-    return _arrivals(spark, _baskets(spark, sf).select(*STREAMED_BASKET.names), "baskets-in")
+def _streamed_baskets(r: Retail) -> DataFrame:
+    return _arrivals(r, r.baskets.select(*STREAMED_BASKET.names), "baskets-in")
 
 
-def _streamed_changes(spark: SparkSession, sf: str) -> DataFrame:
-    return _arrivals(spark, entities.payment_changes(spark, sf).select(*PAYMENT_CHANGE.names), "changes-in")
+def _streamed_changes(r: Retail) -> DataFrame:
+    return _arrivals(r, r.payment_changes.select(*PAYMENT_CHANGE.names), "changes-in")
 
 
-def _streamed_payments(spark: SparkSession, sf: str) -> DataFrame:
-    payments = entities.payments(spark, sf).select(*PAYMENT_MESSAGE.names, "created_at")
-    return _arrivals(spark, payments, "payments-in")
+def _streamed_payments(r: Retail) -> DataFrame:
+    payments = r.payments.select(*PAYMENT_MESSAGE.names, "created_at")
+    return _arrivals(r, payments, "payments-in")
 
 
-def _appended(spark: SparkSession, stream: DataFrame, name: str) -> DataFrame:
-    path = scratch_dir(spark, name)
-    finish(start_append(stream, path, scratch_dir(spark, f"{name}-checkpoint"), name))
-    return spark.read.schema(stream.schema).parquet(path)
+def _appended(r: Retail, stream: DataFrame, name: str) -> DataFrame:
+    path = r.scratch(name)
+    finish(start_append(stream, path, r.scratch(f"{name}-checkpoint"), name))
+    return r.spark.read.schema(stream.schema).parquet(path)
 
 
-def stream_baskets(spark: SparkSession, sf: str) -> DataFrame:
+def stream_baskets(r: Retail) -> DataFrame:
     """Basket messages read as a stream, decoded, and kept in a catalog table."""
-    baskets = _baskets(spark, sf).select(*BASKET.names)
+    baskets = r.baskets.select(*BASKET.names)
     messages = out_topics.append_messages(baskets, F.col("store.name"), out_topics.json_encoder())
-    stream = _arrivals(spark, messages.withColumn("invoiceNumber", F.get_json_object("value", "$.invoiceNumber")),
+    stream = _arrivals(r, messages.withColumn("invoiceNumber", F.get_json_object("value", "$.invoiceNumber")),
                        "topic-in")
     decoded = in_topics.decode_messages(stream, in_topics.json_decoder(BASKET))
-    name = f"{_database(spark)}.t_salesbaskets"
-    finish(start_table(decoded, name, scratch_dir(spark, "stream-baskets"), "stream_baskets"))
-    return _flat_baskets(spark.table(name))
+    name = f"{_database(r)}.t_salesbaskets"
+    finish(start_table(decoded, name, r.scratch("stream-baskets"), "stream_baskets"))
+    return _flat_baskets(r.spark.table(name))
 
 
-def upsert_payments(spark: SparkSession, sf: str) -> DataFrame:
-    table = payments_table(spark, scratch_dir(spark, "salespayments"))
-    changes = _streamed_changes(spark, sf)
-    finish(start_keyed(changes, table, scratch_dir(spark, "payments-checkpoint"), "upsert_payments"))
+def upsert_payments(r: Retail) -> DataFrame:
+    table = payments_table(r.spark, r.scratch("salespayments"))
+    changes = _streamed_changes(r)
+    finish(start_keyed(changes, table, r.scratch("payments-checkpoint"), "upsert_payments"))
     table.compact(1)
     return _flat_payments(table.read().drop("op", "seq"))
 
 
-def _upsert_completed(spark: SparkSession, sf: str) -> KeyedTable:
-    table = completed_table(spark, scratch_dir(spark, "salescompleted"))
-    changes = completed_changes(_streamed_baskets(spark, sf), _streamed_changes(spark, sf))
-    finish(start_keyed(changes, table, scratch_dir(spark, "completed-checkpoint"), "upsert_completed"))
+def _upsert_completed(r: Retail) -> KeyedTable:
+    table = completed_table(r.spark, r.scratch("salescompleted"))
+    changes = completed_changes(_streamed_baskets(r), _streamed_changes(r))
+    finish(start_keyed(changes, table, r.scratch("completed-checkpoint"), "upsert_completed"))
     return table
 
 
-def upsert_completed(spark: SparkSession, sf: str) -> DataFrame:
-    return _flat_completed(_upsert_completed(spark, sf).read())
+def upsert_completed(r: Retail) -> DataFrame:
+    return _flat_completed(_upsert_completed(r).read())
 
 
-def upsert_unnested(spark: SparkSession, sf: str) -> DataFrame:
-    table = unnested_table(spark, scratch_dir(spark, "unnested"))
-    completed = completed_changes(_baskets(spark, sf), entities.payment_changes(spark, sf))
-    stream = _arrivals(spark, completed.select(*COMPLETED_CHANGE.names), "completed-in")
+def upsert_unnested(r: Retail) -> DataFrame:
+    table = unnested_table(r.spark, r.scratch("unnested"))
+    completed = completed_changes(r.baskets, r.payment_changes)
+    stream = _arrivals(r, completed.select(*COMPLETED_CHANGE.names), "completed-in")
     items = unnest_sales(stream, ["op", "seq"])
-    finish(start_keyed(items, table, scratch_dir(spark, "unnested-checkpoint"), "upsert_unnested"))
+    finish(start_keyed(items, table, r.scratch("unnested-checkpoint"), "upsert_unnested"))
     return table.read().select(*UNNESTED.names)
 
 
-def stream_sales_completed(spark: SparkSession, sf: str) -> DataFrame:
-    stream = sales_completed(_streamed_baskets(spark, sf), _streamed_payments(spark, sf))
-    return _flat_completed(_appended(spark, stream, "stream_sales_completed"))
+def stream_sales_completed(r: Retail) -> DataFrame:
+    stream = sales_completed(_streamed_baskets(r), _streamed_payments(r))
+    return _flat_completed(_appended(r, stream, "stream_sales_completed"))
 
 
-def stream_unnested_sales(spark: SparkSession, sf: str) -> DataFrame:
-    stream = sales_completed(_streamed_baskets(spark, sf), _streamed_payments(spark, sf))
-    return _appended(spark, unnest_lines(stream), "stream_unnested_sales")
+def stream_unnested_sales(r: Retail) -> DataFrame:
+    stream = sales_completed(_streamed_baskets(r), _streamed_payments(r))
+    return _appended(r, unnest_lines(stream), "stream_unnested_sales")
 
 
-def stream_sales_completed_1h(spark: SparkSession, sf: str) -> DataFrame:
+def stream_sales_completed_1h(r: Retail) -> DataFrame:
     """Bounded stream join on rows that arrive in event-time order, restarted for each third of the time span."""
-    span = entities.sales(spark, sf).agg(F.min("sale_ms").alias("first"), F.max("sale_ms").alias("last")).first()
+    span = r.sales.agg(F.min("sale_ms").alias("first"), F.max("sale_ms").alias("last")).first()
     width = (span["last"] - span["first"]) // 1000 // SLICES + 1
 
     def third(seconds: F.Column) -> F.Column:
@@ -382,36 +366,36 @@ def stream_sales_completed_1h(spark: SparkSession, sf: str) -> DataFrame:
         return F.least(cut, F.lit(SLICES - 1)).alias("slice")
 
     def stored(df: DataFrame, seconds: F.Column, name: str) -> tuple[DataFrame, str]:
-        path = scratch_dir(spark, name)
+        path = r.scratch(name)
         df.select("*", third(seconds)).write.partitionBy("slice").parquet(path)
-        return spark.read.parquet(path), scratch_dir(spark, f"{name}-inbox")
+        return r.spark.read.parquet(path), r.scratch(f"{name}-inbox")
 
-    basket_rows = _baskets(spark, sf).select(*STREAMED_BASKET.names)
-    payment_rows = entities.payments(spark, sf).select(*PAYMENT_MESSAGE.names, "created_at")
+    basket_rows = r.baskets.select(*STREAMED_BASKET.names)
+    payment_rows = r.payments.select(*PAYMENT_MESSAGE.names, "created_at")
     stored_baskets, basket_inbox = stored(basket_rows, epoch_seconds(F.col("saleTimestamp_Epoc")), "baskets")
     stored_payments, payment_inbox = stored(payment_rows, F.unix_seconds("created_at"), "payments")
-    path, checkpoint = scratch_dir(spark, "completed-1h"), scratch_dir(spark, "completed-1h-checkpoint")
+    path, checkpoint = r.scratch("completed-1h"), r.scratch("completed-1h-checkpoint")
     for i in range(SLICES):
         for rows, inbox in ((stored_baskets, basket_inbox), (stored_payments, payment_inbox)):
             rows.where(F.col("slice") == i).drop("slice").write.mode("append").parquet(inbox)
         stream = sales_completed_within(
-            read_files(spark, basket_inbox, STREAMED_BASKET), read_files(spark, payment_inbox, payment_rows.schema),
+            read_files(r.spark, basket_inbox, STREAMED_BASKET), read_files(r.spark, payment_inbox, payment_rows.schema),
             watermark="1 hour")
         finish(start_append(stream, path, checkpoint, "stream_sales_completed_1h"))
-    return _flat_completed(spark.read.schema(stream.schema).parquet(path))
+    return _flat_completed(r.spark.read.schema(stream.schema).parquet(path))
 
 
-def stream_progress(spark: SparkSession, sf: str) -> DataFrame:
-    query = start_append(_streamed_payments(spark, sf), scratch_dir(spark, "progress"),
-                         scratch_dir(spark, "progress-checkpoint"), "stream_progress")
+def stream_progress(r: Retail) -> DataFrame:
+    query = start_append(_streamed_payments(r), r.scratch("progress"),
+                         r.scratch("progress-checkpoint"), "stream_progress")
     finish(query)
-    return spark.createDataFrame([(int(run_metrics(query)["records"]),)], "records long")
+    return r.spark.createDataFrame([(int(run_metrics(query)["records"]),)], "records long")
 
 
-def pipeline_end_to_end(spark: SparkSession, sf: str) -> DataFrame:
+def pipeline_end_to_end(r: Retail) -> DataFrame:
     """All streams of the flow, summarised per table."""
-    flow = Pipeline.create(spark, scratch_dir(spark, "pipeline"))
-    flow.run_available(_streamed_baskets(spark, sf), _streamed_changes(spark, sf))
+    flow = Pipeline.create(r.spark, r.scratch("pipeline"))
+    flow.run_available(_streamed_baskets(r), _streamed_changes(r))
     flow.completed.compact(0)
 
     def summary(df: DataFrame, name: str, amount: str) -> DataFrame:
@@ -426,7 +410,7 @@ def pipeline_end_to_end(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-QUERIES: dict[str, Query] = {
+_ENTITY_QUERIES: dict[str, Callable[[Retail], DataFrame]] = {
     "epoch_event_time": epoch_event_time,
     "payments_projection": payments_projection,
     "line_subtotals": line_subtotals,
@@ -461,3 +445,14 @@ QUERIES: dict[str, Query] = {
     "stream_progress": stream_progress,
     "pipeline_end_to_end": pipeline_end_to_end,
 }
+
+
+def _query(build: Callable[[Retail], DataFrame]) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return build(Retail(spark, sf_dir))
+
+    run.__name__, run.__doc__ = build.__name__, build.__doc__
+    return run
+
+
+QUERIES: dict[str, Query] = {name: _query(build) for name, build in _ENTITY_QUERIES.items()}

@@ -58,5 +58,6 @@ def local_session(cpus: int = 8, app: str = "tillstream") -> SparkSession:
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.adaptive.enabled", "true")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
