@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tillstream.functions.event_time import millis_to_seconds, time_label
 from tillstream.operators.changes import live_rows
 from tillstream.operators.completed import sales_completed
-from tillstream.operators.lines import assemble_baskets, basket_totals, price_lines, with_gross, with_positions
-from tillstream.operators.skew import hot_keys
+from tillstream.operators.lines import (
+    MAX_ITEMS, assemble_baskets, basket_totals, price_lines, with_gross, with_positions,
+)
+from tillstream.operators.skew import MIN_ROWS, hot_keys
 from tillstream.session import scratch_dir
 
 LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity"]
@@ -20,8 +22,8 @@ OFFSET_MINUTES = 120
 class Retail:
     """Entities over one folder of tables, each built at most once per query."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir = spark, sf_dir
+    def __init__(self, spark: SparkSession, sf_dir: str, hot_rows: int = MIN_ROWS, max_items: int = MAX_ITEMS):
+        self.spark, self.sf_dir, self.hot_rows, self.max_items = spark, sf_dir, hot_rows, max_items
         self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
@@ -35,7 +37,7 @@ class Retail:
     @cached_property
     def hot_orders(self) -> DataFrame | None:
         """Orders with too many lines for one task (a pass over one column)."""
-        return hot_keys(self.table("lineitem"), "l_orderkey")
+        return hot_keys(self.table("lineitem"), "l_orderkey", self.hot_rows)
 
     @property
     def hot_invoices(self) -> DataFrame | None:
@@ -102,7 +104,7 @@ class Retail:
         """Nested baskets."""
         lines, hot = self.placed_lines.withColumnRenamed("l_orderkey", "o_orderkey"), self.hot_orders
         hot = None if hot is None else hot.withColumnRenamed("l_orderkey", "o_orderkey")
-        return assemble_baskets(self.headers, lines, "o_orderkey", hot).drop("o_orderkey")
+        return assemble_baskets(self.headers, lines, "o_orderkey", hot, max_items=self.max_items).drop("o_orderkey")
 
     @cached_property
     def payments(self) -> DataFrame:
