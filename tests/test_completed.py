@@ -49,6 +49,13 @@ def test_hot_invoices_give_the_same_rows(spark, edge):
     assert invoices(sales_completed_within(edge[0], live, hot=hot)) == ["after", "hour"]
 
 
+def test_salts_give_the_same_rows(spark, edge):
+    parts = edge[0].unionAll(edge[0].withColumn("basketPart", edge[0].basketPart + 1))
+    for join in (sales_completed, sales_completed_within, completed_changes):
+        plain, salted = join(parts, edge[1]), join(parts, edge[1], salts=3)
+        assert sorted(map(str, plain.collect())) == sorted(map(str, salted.select(plain.columns).collect()))
+
+
 def test_revisions_and_deletes_reach_completed_sales_and_items(spark):
     r = random.Random(5)
     goods = [item(f"p{i}", price=i + 0.5, quantity=q) for i in range(4) for q in (1, 2)]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 BUCKETS = 1 << 16
 SHARE = 8  # a bucket is suspect from this many times the mean bucket size
@@ -39,17 +39,19 @@ def hot_keys(df: DataFrame, key: str, min_rows: int = MIN_ROWS) -> DataFrame | N
     return df.sparkSession.createDataFrame(keys, df.select(key).schema)
 
 
-def split_hot(df: DataFrame, key: str, hot: DataFrame) -> tuple[DataFrame, DataFrame]:
+def split_hot(df: DataFrame, key: str | list[str], hot: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(rows of the hot keys, all other rows); ``hot`` comes from :func:`hot_keys`."""
     small = F.broadcast(hot)
     return df.join(small, key, "left_semi"), df.join(small, key, "left_anti")
 
 
-def join_on_unique(many: DataFrame, one: DataFrame, key: str, hot: DataFrame | None, condition=None) -> DataFrame:
-    """Inner join of ``many`` with ``one`` (at most one row per key), keeping hot keys off single tasks.
+def join_on_unique(many: DataFrame, one: DataFrame, key: str | list[str], hot: DataFrame | None = None,
+                   condition: Column | None = None) -> DataFrame:
+    """Inner join of ``many`` with ``one``, keeping the keys in ``hot`` off single tasks.
 
-    Rows of hot keys are not shuffled at all: ``one`` holds at most one row for each of the at most
-    8,192 hot keys, which is a bounded broadcast. Everything else is an ordinary join.
+    Rows of hot keys are not shuffled at all: with at most one row per key in ``one``, the at most
+    8,192 hot keys need a broadcast of at most as many rows. Everything else, and everything when
+    ``hot`` is None, is an ordinary join.
     """
     def joined(left: DataFrame, right: DataFrame) -> DataFrame:
         out = left.join(right, key, "inner")

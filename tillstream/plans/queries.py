@@ -8,12 +8,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tillstream.functions.event_time import event_time, epoch_seconds, utc_wall_clock
 from tillstream.operators.changes import (
-    direct_payments, live_rows, payments_from_mysql, payments_from_postgres,
+    direct_payments, latest_per_key, live_rows, payments_from_mysql, payments_from_postgres,
 )
 from tillstream.operators.completed import (
     completed_changes, live_completed, sales_completed, sales_completed_within,
 )
 from tillstream.operators.lines import basket_totals
+from tillstream.operators.skew import hot_keys
 from tillstream.operators.unnest import collapse_lines, unnest_lines, unnest_sales
 from tillstream.plans.entities import Retail, created_seconds
 from tillstream.plans.pipeline import (
@@ -143,9 +144,14 @@ def sales_completed_1h(r: Retail) -> DataFrame:
         r.baskets, r.live_payments, hot=r.hot_invoices))
 
 
+def _completed_changes(r: Retail) -> DataFrame:
+    """Newest change of every sale; older payment changes cannot count and are dropped before the join."""
+    newest = latest_per_key(r.payment_changes, ["invoiceNumber"], ["seq"])
+    return completed_changes(r.baskets, newest, r.hot_invoices)
+
+
 def sales_completed_changelog(r: Retail) -> DataFrame:
-    changes = completed_changes(r.baskets, r.payment_changes)
-    return _flat_completed(live_completed(changes))
+    return _flat_completed(live_completed(_completed_changes(r)))
 
 
 # ---- arrays -----------------------------------------------------------------------------------
@@ -231,27 +237,20 @@ def upsert_topic(r: Retail) -> DataFrame:
 
 # ---- reference data ---------------------------------------------------------------------------
 
-SEED_ENTRIES = 1000  # entries of one seed document
-
-
 def _seed_documents(r: Retail) -> str:
-    """Stores, clerks and products of the given tables as seed documents of bounded size."""
-    def entries(df: DataFrame, number: str, kind: str, *cols: F.Column) -> DataFrame:
-        chunk = F.call_function("div", F.col(number), F.lit(SEED_ENTRIES))
-        listed = df.groupBy(chunk.alias("chunk")).agg(F.collect_list(F.struct(*cols)).alias(kind))
-        return listed.select(F.to_json(F.struct(kind)).alias("value"))
-
-    nation, customer, part = (r.table(t) for t in ("nation", "customer", "part"))
+    """Stores, clerks and products of the given tables as seed documents, one entry each."""
     path = r.scratch("seed")
-    text = F.col
-    entries(nation, "n_nationkey", "Stores", text("n_nationkey").cast("string").alias("id"),
-            text("n_name").alias("name")).write.mode("append").text(path)
-    entries(customer, "c_custkey", "Clerks", text("c_custkey").cast("string").alias("id"),
-            text("c_name").alias("name"), text("c_mktsegment").alias("surname"),
-            text("c_nationkey").cast("string").alias("storeId")).write.mode("append").text(path)
-    entries(part, "p_partkey", "Products", text("p_partkey").cast("string").alias("id"), text("p_name").alias("name"),
-            text("p_brand").alias("brand"), text("p_type").alias("category"),
-            text("p_retailprice").alias("price")).write.mode("append").text(path)
+
+    def write(table: str, kind: str, **columns: str) -> None:
+        entry = F.struct(*(F.expr(column).alias(name) for name, column in columns.items()))
+        document = F.to_json(F.struct(F.array(entry).alias(kind)))
+        r.table(table).select(document.alias("value")).write.mode("append").text(path)
+
+    write("nation", "Stores", id="string(n_nationkey)", name="n_name")
+    write("customer", "Clerks", id="string(c_custkey)", name="c_name", surname="c_mktsegment",
+          storeId="string(c_nationkey)")
+    write("part", "Products", id="string(p_partkey)", name="p_name", brand="p_brand", category="p_type",
+          price="p_retailprice")
     return path
 
 
@@ -273,7 +272,7 @@ def seed_lookup(r: Retail) -> DataFrame:
     lines = r.table("lineitem").select(
         F.col("l_orderkey").cast("string").alias("invoiceNumber"), F.col("l_partkey").cast("string").alias("product_id"),
         F.col("l_quantity").cast("int").alias("quantity"))
-    return spool.lookup(lines, seed["products"], "product_id")
+    return spool.lookup(lines, seed["products"], "product_id", hot_keys(lines, "product_id"))
 
 
 # ---- streams ----------------------------------------------------------------------------------
@@ -339,8 +338,7 @@ def upsert_completed(r: Retail) -> DataFrame:
 
 def upsert_unnested(r: Retail) -> DataFrame:
     table = unnested_table(r.spark, r.scratch("unnested"))
-    completed = completed_changes(r.baskets, r.payment_changes)
-    stream = _arrivals(r, completed.select(*COMPLETED_CHANGE.names), "completed-in")
+    stream = _arrivals(r, _completed_changes(r).select(*COMPLETED_CHANGE.names), "completed-in")
     items = unnest_sales(stream, ["op", "seq"])
     finish(start_keyed(items, table, r.scratch("unnested-checkpoint"), "upsert_unnested"))
     return table.read().select(*UNNESTED.names)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from tillstream.operators.skew import join_on_unique
 from tillstream.schemas import ALIASES, SEED
 
 DOCUMENT_END = "\n},\n"
@@ -71,10 +72,11 @@ def one_per_id(dim: DataFrame) -> DataFrame:
     return dim.groupBy("id").agg(F.min(F.struct(*rest)).alias("_row")).select("id", "_row.*")
 
 
-def lookup(facts: DataFrame, dim: DataFrame, on: str) -> DataFrame:
+def lookup(facts: DataFrame, dim: DataFrame, on: str, hot: DataFrame | None = None) -> DataFrame:
     """Add the columns of a seed table to rows that name its id in ``on``.
 
-    No broadcast hint: Spark broadcasts the table while its measured size is under
-    ``spark.sql.autoBroadcastJoinThreshold`` and shuffles beyond it.
+    Seed tables are small as a rule, and Spark broadcasts them while their measured size is under
+    ``spark.sql.autoBroadcastJoinThreshold``. Beyond it the rows are shuffled, except those of the
+    ids in ``hot`` (see ``hot_keys``).
     """
-    return facts.join(one_per_id(dim).withColumnRenamed("id", on), on)
+    return join_on_unique(facts, one_per_id(dim).withColumnRenamed("id", on), on, hot)
