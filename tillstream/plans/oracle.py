@@ -125,6 +125,7 @@ ORACLE: dict[str, str] = {
     "table_unnested": _with_views("select * from unnested_upsert", "unnested_upsert"),
     "json_spool_roundtrip": _with_views(_BASKETS, "basket_flat"),
     "export_documents": _with_views(f"select {_PAYMENT} from pay0", "pay0"),
+    "export_baskets": _with_views(_BASKETS, "basket_flat"),
     "publish_json": _with_views(_BASKETS, "basket_flat"),
     "upsert_topic": _with_views(f"select {_PAYMENT}, created_s from latest", "latest"),
     "seed_dims": """

@@ -28,7 +28,9 @@ from tillstream.sinks import catalog, documents
 from tillstream.sinks import topics as out_topics
 from tillstream.sinks.keyed_table import KeyedTable
 from tillstream.sources import spool, topics as in_topics
-from tillstream.streaming.flows import finish, read_files, run_metrics, start_append, start_keyed, start_table
+from tillstream.streaming.flows import (
+    finish, read_files, read_table, run_metrics, start_append, start_keyed, start_table,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 SLICES = 3
@@ -218,6 +220,12 @@ def export_documents(r: Retail) -> DataFrame:
     return spool.read_documents(r.spark, path, PAYMENT_MESSAGE)
 
 
+def export_baskets(r: Retail) -> DataFrame:
+    path = r.scratch("documents")
+    documents.write_documents(r.baskets.select(*BASKET.names), path)
+    return _flat_baskets(spool.read_documents(r.spark, path, BASKET))
+
+
 def publish_json(r: Retail) -> DataFrame:
     baskets = r.baskets.select(*BASKET.names)
     messages = out_topics.append_messages(baskets, F.col("store.name"), out_topics.json_encoder())
@@ -350,8 +358,11 @@ def stream_sales_completed(r: Retail) -> DataFrame:
 
 
 def stream_unnested_sales(r: Retail) -> DataFrame:
-    stream = sales_completed(_streamed_baskets(r), _streamed_payments(r))
-    return _appended(r, unnest_lines(stream), "stream_unnested_sales")
+    """Two streams linked by a catalog table: completed sales, and their items."""
+    name = f"{_database(r)}.t_salescompleted"
+    completed = sales_completed(_streamed_baskets(r), _streamed_payments(r))
+    finish(start_table(completed, name, r.scratch("linked-checkpoint"), "linked_sales_completed"))
+    return _appended(r, unnest_lines(read_table(r.spark, name)), "stream_unnested_sales")
 
 
 def stream_sales_completed_1h(r: Retail) -> DataFrame:
@@ -429,6 +440,7 @@ _ENTITY_QUERIES: dict[str, Callable[[Retail], DataFrame]] = {
     "table_unnested": table_unnested,
     "json_spool_roundtrip": json_spool_roundtrip,
     "export_documents": export_documents,
+    "export_baskets": export_baskets,
     "publish_json": publish_json,
     "upsert_topic": upsert_topic,
     "seed_dims": seed_dims,

@@ -24,6 +24,11 @@ def read_files(spark: SparkSession, path: str, schema: T.StructType, files_per_b
     return reader.parquet(path)
 
 
+def read_table(spark: SparkSession, name: str) -> DataFrame:
+    """Stream of the rows of a catalog table, those already there first."""
+    return spark.readStream.table(name)
+
+
 def _start(writer, spark: SparkSession, name: str, checkpoint: str, every: str | None) -> StreamingQuery:
     trigger = {"processingTime": every} if every else {"availableNow": True}
     writer = writer.queryName(name).option("checkpointLocation", checkpoint).trigger(**trigger)
