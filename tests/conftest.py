@@ -17,7 +17,7 @@ def spark():
 
     session = local_session(4, "tests")
     session.sparkContext.setLogLevel("ERROR")
-    session.conf.set("spark.sql.shuffle.partitions", "4")
+    session.conf.set("spark.sql.shuffle.partitions", "2")
     return session
 
 

@@ -31,6 +31,13 @@ class Retail:
             self._tables[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
         return self._tables[name]
 
+    @cached_property
+    def state_partitions(self) -> int:
+        """Partitions of stream state: the session's setting, or fewer while the input has few files."""
+        files = len(self.table("lineitem").inputFiles())
+        wanted = max(files, self.spark.sparkContext.defaultParallelism)
+        return min(wanted, int(self.spark.conf.get("spark.sql.shuffle.partitions")))
+
     def scratch(self, name: str) -> str:
         return scratch_dir(self.spark, name)
 

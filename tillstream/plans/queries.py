@@ -309,7 +309,7 @@ def _streamed_payments(r: Retail) -> DataFrame:
 
 def _appended(r: Retail, stream: DataFrame, name: str) -> DataFrame:
     path = r.scratch(name)
-    finish(start_append(stream, path, r.scratch(f"{name}-checkpoint"), name))
+    finish(start_append(stream, path, r.scratch(f"{name}-checkpoint"), name, state_partitions=r.state_partitions))
     return r.spark.read.schema(stream.schema).parquet(path)
 
 
@@ -328,7 +328,8 @@ def stream_baskets(r: Retail) -> DataFrame:
 def upsert_payments(r: Retail) -> DataFrame:
     table = payments_table(r.spark, r.scratch("salespayments"))
     changes = _streamed_changes(r)
-    finish(start_keyed(changes, table, r.scratch("payments-checkpoint"), "upsert_payments"))
+    finish(start_keyed(changes, table, r.scratch("payments-checkpoint"), "upsert_payments",
+                       state_partitions=r.state_partitions))
     table.compact(1)
     return _flat_payments(table.read().drop("op", "seq"))
 
@@ -336,7 +337,8 @@ def upsert_payments(r: Retail) -> DataFrame:
 def _upsert_completed(r: Retail) -> KeyedTable:
     table = completed_table(r.spark, r.scratch("salescompleted"))
     changes = completed_changes(_streamed_baskets(r), _streamed_changes(r))
-    finish(start_keyed(changes, table, r.scratch("completed-checkpoint"), "upsert_completed"))
+    finish(start_keyed(changes, table, r.scratch("completed-checkpoint"), "upsert_completed",
+                       state_partitions=r.state_partitions))
     return table
 
 
@@ -348,7 +350,8 @@ def upsert_unnested(r: Retail) -> DataFrame:
     table = unnested_table(r.spark, r.scratch("unnested"))
     stream = _arrivals(r, _completed_changes(r).select(*COMPLETED_CHANGE.names), "completed-in")
     items = unnest_sales(stream, ["op", "seq"])
-    finish(start_keyed(items, table, r.scratch("unnested-checkpoint"), "upsert_unnested"))
+    finish(start_keyed(items, table, r.scratch("unnested-checkpoint"), "upsert_unnested",
+                       state_partitions=r.state_partitions))
     return table.read().select(*UNNESTED.names)
 
 
@@ -361,7 +364,8 @@ def stream_unnested_sales(r: Retail) -> DataFrame:
     """Two streams linked by a catalog table: completed sales, and their items."""
     name = f"{_database(r)}.t_salescompleted"
     completed = sales_completed(_streamed_baskets(r), _streamed_payments(r))
-    finish(start_table(completed, name, r.scratch("linked-checkpoint"), "linked_sales_completed"))
+    finish(start_table(completed, name, r.scratch("linked-checkpoint"), "linked_sales_completed",
+                       state_partitions=r.state_partitions))
     return _appended(r, unnest_lines(read_table(r.spark, name)), "stream_unnested_sales")
 
 
@@ -390,7 +394,8 @@ def stream_sales_completed_1h(r: Retail) -> DataFrame:
         stream = sales_completed_within(
             read_files(r.spark, basket_inbox, STREAMED_BASKET), read_files(r.spark, payment_inbox, payment_rows.schema),
             watermark="1 hour")
-        finish(start_append(stream, path, checkpoint, "stream_sales_completed_1h"))
+        finish(start_append(stream, path, checkpoint, "stream_sales_completed_1h",
+                            state_partitions=r.state_partitions))
     return _flat_completed(r.spark.read.schema(stream.schema).parquet(path))
 
 
@@ -403,7 +408,7 @@ def stream_progress(r: Retail) -> DataFrame:
 
 def pipeline_end_to_end(r: Retail) -> DataFrame:
     """All streams of the flow, summarised per table."""
-    flow = Pipeline.create(r.spark, r.scratch("pipeline"))
+    flow = Pipeline.create(r.spark, r.scratch("pipeline"), state_partitions=r.state_partitions)
     flow.run_available(_streamed_baskets(r), _streamed_changes(r))
     flow.completed.compact(0)
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tillstream.session import settings
 from tillstream.sinks.keyed_table import KeyedTable
@@ -29,33 +29,39 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.readStream.table(name)
 
 
-def _start(writer, spark: SparkSession, name: str, checkpoint: str, every: str | None) -> StreamingQuery:
+def _start(writer: DataStreamWriter, spark: SparkSession, name: str, checkpoint: str, every: str | None,
+           state_partitions: int | None, table: str | None = None) -> StreamingQuery:
     trigger = {"processingTime": every} if every else {"availableNow": True}
     writer = writer.queryName(name).option("checkpointLocation", checkpoint).trigger(**trigger)
-    with settings(spark, STATE_SETTINGS):
-        return writer.start()
+    conf = dict(STATE_SETTINGS)
+    if state_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(state_partitions)
+    with settings(spark, conf):
+        return writer.toTable(table) if table else writer.start()
 
 
-def start_append(df: DataFrame, path: str, checkpoint: str, name: str, every: str | None = None) -> StreamingQuery:
-    """Append to Parquet files, each row exactly once. ``every=None`` works off what is there and stops."""
+def start_append(df: DataFrame, path: str, checkpoint: str, name: str, every: str | None = None,
+                 state_partitions: int | None = None) -> StreamingQuery:
+    """Append to Parquet files, each row exactly once. ``every=None`` works off what is there and stops.
+
+    ``state_partitions`` is the number of state partitions on the first start; later starts keep it.
+    """
     writer = df.writeStream.format("parquet").option("path", path).outputMode("append")
-    return _start(writer, df.sparkSession, name, checkpoint, every)
+    return _start(writer, df.sparkSession, name, checkpoint, every, state_partitions)
 
 
 def start_table(df: DataFrame, table: str, checkpoint: str, name: str, every: str | None = None,
-                file_format: str = "parquet") -> StreamingQuery:
+                state_partitions: int | None = None, file_format: str = "parquet") -> StreamingQuery:
     """Append to a catalog table, created from the stream's schema on the first start."""
-    trigger = {"processingTime": every} if every else {"availableNow": True}
-    writer = df.writeStream.format(file_format).outputMode("append").queryName(name)
-    with settings(df.sparkSession, STATE_SETTINGS):
-        return writer.option("checkpointLocation", checkpoint).trigger(**trigger).toTable(table)
+    writer = df.writeStream.format(file_format).outputMode("append")
+    return _start(writer, df.sparkSession, name, checkpoint, every, state_partitions, table)
 
 
-def start_keyed(df: DataFrame, table: KeyedTable, checkpoint: str, name: str,
-                every: str | None = None) -> StreamingQuery:
+def start_keyed(df: DataFrame, table: KeyedTable, checkpoint: str, name: str, every: str | None = None,
+                state_partitions: int | None = None) -> StreamingQuery:
     """Write each micro-batch as one segment of a keyed table."""
     writer = df.writeStream.foreachBatch(table.write_segment).outputMode("append")
-    return _start(writer, df.sparkSession, name, checkpoint, every)
+    return _start(writer, df.sparkSession, name, checkpoint, every, state_partitions)
 
 
 def finish(*queries: StreamingQuery) -> None:
