@@ -32,7 +32,8 @@ def with_positions(lines: DataFrame, key: str, order: list[str], hot: DataFrame
     """Add ``pos``, the 0-based place of a line in its basket by ``order``.
 
     Baskets in ``hot`` (see :func:`tillstream.operators.skew.hot_keys`) are too large for one
-    window partition and are ranked by a range sort over many tasks instead.
+    window partition and are ranked by a range sort over many tasks instead. Give ``lines`` as a
+    plain scan then: rows must come in the same order when a lost task is run again.
     """
     window = Window.partitionBy(key).orderBy(*order)
     pos = (F.row_number().over(window) - 1).cast("bigint")
