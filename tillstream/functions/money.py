@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, WindowSpec, functions as F
 
-VAT_RATE = 0.14
+VAT_RATE = 0.14  # fixed value: the configured rate of the data
 
 
 def round_half_away(amount: Column, digits: int = 2) -> Column:
