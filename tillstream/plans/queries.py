@@ -336,7 +336,7 @@ def upsert_payments(r: Retail) -> DataFrame:
 
 def _upsert_completed(r: Retail) -> KeyedTable:
     table = completed_table(r.spark, r.scratch("salescompleted"))
-    changes = completed_changes(_streamed_baskets(r), _streamed_changes(r))
+    changes = completed_changes(_streamed_baskets(r), _streamed_changes(r), salts=r.salts)
     finish(start_keyed(changes, table, r.scratch("completed-checkpoint"), "upsert_completed",
                        state_partitions=r.state_partitions))
     return table
@@ -356,14 +356,14 @@ def upsert_unnested(r: Retail) -> DataFrame:
 
 
 def stream_sales_completed(r: Retail) -> DataFrame:
-    stream = sales_completed(_streamed_baskets(r), _streamed_payments(r))
+    stream = sales_completed(_streamed_baskets(r), _streamed_payments(r), salts=r.salts)
     return _flat_completed(_appended(r, stream, "stream_sales_completed"))
 
 
 def stream_unnested_sales(r: Retail) -> DataFrame:
     """Two streams linked by a catalog table: completed sales, and their items."""
     name = f"{_database(r)}.t_salescompleted"
-    completed = sales_completed(_streamed_baskets(r), _streamed_payments(r))
+    completed = sales_completed(_streamed_baskets(r), _streamed_payments(r), salts=r.salts)
     finish(start_table(completed, name, r.scratch("linked-checkpoint"), "linked_sales_completed",
                        state_partitions=r.state_partitions))
     return _appended(r, unnest_lines(read_table(r.spark, name)), "stream_unnested_sales")
@@ -393,7 +393,7 @@ def stream_sales_completed_1h(r: Retail) -> DataFrame:
             rows.where(F.col("slice") == i).drop("slice").write.mode("append").parquet(inbox)
         stream = sales_completed_within(
             read_files(r.spark, basket_inbox, STREAMED_BASKET), read_files(r.spark, payment_inbox, payment_rows.schema),
-            watermark="1 hour")
+            watermark="1 hour", salts=r.salts)
         finish(start_append(stream, path, checkpoint, "stream_sales_completed_1h",
                             state_partitions=r.state_partitions))
     return _flat_completed(r.spark.read.schema(stream.schema).parquet(path))
@@ -408,7 +408,8 @@ def stream_progress(r: Retail) -> DataFrame:
 
 def pipeline_end_to_end(r: Retail) -> DataFrame:
     """All streams of the flow, summarised per table."""
-    flow = Pipeline.create(r.spark, r.scratch("pipeline"), state_partitions=r.state_partitions)
+    flow = Pipeline.create(r.spark, r.scratch("pipeline"), salts=r.salts,
+                           state_partitions=r.state_partitions)
     flow.run_available(_streamed_baskets(r), _streamed_changes(r))
     flow.completed.compact(0)
 
