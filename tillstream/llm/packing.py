@@ -9,8 +9,11 @@ numbered within their length, on the cluster, and look up the pattern their numb
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections import Counter
 from collections.abc import Iterator
+from functools import cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -20,36 +23,54 @@ from tillstream.llm.common import number_within
 
 CAPACITY = 4096
 END = 1
-CACHED_BYTES = 64_000_000  # of words and ids kept by one task
+CACHED_BYTES = 160_000_000  # of words and ids kept by one task
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, ids binary"
 
 
-def _pair(left: np.ndarray, gap: int) -> list[int]:
-    """Two available lengths that sum to ``gap``, the longest possible first, or nothing."""
-    if gap < 2:
+class _Stock:
+    """Pieces left per length, and which lengths are left as bits of one number, forwards and mirrored."""
+
+    def __init__(self, counts: dict[int, int], capacity: int):
+        self.left = [0] * (capacity + 1)
+        self.capacity, self.bits, self.mirror = capacity, 0, 0
+        for length, n in counts.items():
+            self.add(length, n)
+
+    def add(self, length: int, n: int) -> None:
+        had = self.left[length] > 0
+        self.left[length] += n
+        if had != (self.left[length] > 0):
+            self.bits ^= 1 << length
+            self.mirror ^= 1 << (self.capacity - length)
+
+    def longest(self, most: int) -> int:
+        """The longest length left that is at most ``most``; 0 if there is none."""
+        return max(0, (self.bits & ((2 << most) - 1)).bit_length() - 1)
+
+    def pair(self, gap: int) -> list[int]:
+        """Two lengths left that sum to ``gap``, the longest possible first, or nothing."""
+        fits = self.bits & (self.mirror >> (self.capacity - gap)) & ((1 << gap) - 1)
+        if gap % 2 == 0 and self.left[gap // 2] == 1:
+            fits &= ~(1 << gap // 2)
+        long = fits.bit_length() - 1
+        return [long, gap - long] if fits else []
+
+    def complement(self, gap: int) -> list[int]:
+        """One, two or three lengths left that fill ``gap`` exactly, or nothing."""
+        if self.left[gap] > 0:
+            return [gap]
+        if two := self.pair(gap):
+            return two
+        first = self.longest(gap - 2) if gap > 2 else 0
+        while first:
+            self.add(first, -1)
+            two = self.pair(gap - first)
+            self.add(first, 1)
+            if two:
+                return [first, *two]
+            first = self.longest(first - 1)
         return []
-    low = np.arange(1, gap // 2 + 1)
-    fits = (left[low] > 0) & (left[gap - low] > 0)
-    if gap % 2 == 0:
-        fits[-1] = left[gap // 2] > 1
-    at = np.flatnonzero(fits)
-    return [gap - int(low[at[0]]), int(low[at[0]])] if at.size else []
-
-
-def complement(left: np.ndarray, gap: int) -> list[int]:
-    """One, two or three available lengths that fill ``gap`` exactly, or nothing."""
-    if left[gap] > 0:
-        return [gap]
-    if two := _pair(left, gap):
-        return two
-    for first in np.flatnonzero(left[:gap - 1])[::-1]:
-        left[first] -= 1
-        two = _pair(left, gap - int(first))
-        left[first] += 1
-        if two:
-            return [int(first), *two]
-    return []
 
 
 def plan_patterns(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[list[int], int]]:
@@ -59,27 +80,24 @@ def plan_patterns(counts: dict[int, int], capacity: int = CAPACITY) -> list[tupl
     the longest piece that fits and goes on with the smaller gap. A pattern is used as often as the counts
     allow, so each uses up a length (all but fewer than it takes) and the number of patterns depends on ``capacity`` alone.
     """
-    left = np.zeros(capacity + 1, dtype=np.int64)
-    for length, n in counts.items():
-        left[length] = n
+    stock = _Stock(counts, capacity)
     patterns = []
-    while (lengths := np.flatnonzero(left)).size:
-        pattern, gap = [int(lengths[-1])], capacity - int(lengths[-1])
-        left[pattern[0]] -= 1
+    while stock.bits:
+        pattern, gap = [stock.longest(capacity)], capacity - stock.longest(capacity)
+        stock.add(pattern[0], -1)
         while gap > 0:
-            filled = complement(left, gap)
-            fitting = np.flatnonzero(left[:gap + 1])
-            more = filled or ([int(fitting[-1])] if fitting.size else [])
+            fitting = stock.longest(gap)
+            more = fitting and (stock.complement(gap) or [fitting])
             if not more:
                 break
             for x in more:
-                left[x] -= 1
+                stock.add(x, -1)
                 gap -= x
             pattern += more
         taken = Counter(pattern)
-        times = 1 + min(int(left[x]) // n for x, n in taken.items())
+        times = 1 + min(stock.left[x] // n for x, n in taken.items())
         for x, n in taken.items():
-            left[x] -= (times - 1) * n
+            stock.add(x, -(times - 1) * n)
         patterns.append((pattern, times))
     return patterns
 
@@ -100,7 +118,10 @@ def plan_ranges(patterns: list[tuple[list[int], int]]) -> dict[str, np.ndarray]:
 
 
 class _Encoder:
-    """Token ids as bytes. No token of this vocabulary reaches over ASCII white space, so words are encoded once and kept."""
+    """Token ids as bytes, by words that are encoded once and kept.
+
+    No token of this vocabulary reaches over ASCII white space, and it has no upper case.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -109,15 +130,20 @@ class _Encoder:
         self.tokenizer.encode_special_tokens = True
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        words = [t.encode().split() for t in texts]
+        words = [t.encode().lower().split() for t in texts]
         if self.size > CACHED_BYTES:
             self.known, self.size = {}, 0
         known = self.known
-        new = list({w for ws in words for w in ws if w not in known})
+        new = list(set(chain.from_iterable(words)).difference(known))
         for w, e in zip(new, self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)):
-            known[w] = ids = np.array(e.ids, dtype="<u4").tobytes()
+            known[w] = ids = array("I", e.ids).tobytes()
             self.size += len(w) + len(ids) + 200
-        return [b"".join([known[w] for w in ws]) for ws in words]
+        return [b"".join(map(known.__getitem__, ws)) for ws in words]
+
+
+@cache
+def _encoder(path: str) -> _Encoder:
+    return _Encoder(path)  # a worker process keeps its words from task to task
 
 
 def tokenized_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end: int = END,
@@ -125,7 +151,7 @@ def tokenized_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPAC
     """Every document as pieces of at most ``capacity`` ids: its ids and one end id, cut only where longer."""
 
     def pieces(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode, stop, width = _Encoder(tokenizer_path), np.array([end], dtype="<u4").tobytes(), 4 * capacity
+        encode, stop, width = _encoder(tokenizer_path), np.array([end], dtype="<u4").tobytes(), 4 * capacity
         for frame in frames:
             for at in range(0, len(frame), 500):
                 part = frame.iloc[at:at + 500]
