@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from tillstream.llm.common import stored
 
 SHINGLE = 5
-SKETCH_BITS = 18  # counters of the commonness sketch: its size is fixed, whatever the corpus
+SKETCH_BITS = 19  # counters of the commonness sketch: its size is fixed, whatever the corpus
 SLICES = 64
 GROUP_ROWS = 1 << 14  # expected rows of one segment subset in one group; commoner ones are dealt over several
 MEMBERS = 500  # candidates of one set verified by one task at a time
@@ -67,8 +67,15 @@ def _band(n: int) -> int:
     return (n.bit_length() - 1) // 2
 
 
-def _counters(shingles: np.ndarray) -> np.ndarray:
-    return (shingles >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
+def _counters(shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Counter and sign of each element in the sketch: with signs, elements that share a counter cancel out on average."""
+    return (shingles >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), 1 - 2 * (shingles & np.uint64(1)).astype(np.int64)
+
+
+def _costs(shingles: np.ndarray, sketch: np.ndarray) -> np.ndarray:
+    """log2 of the estimated corpus count of each element."""
+    at, sign = _counters(shingles)
+    return np.ceil(np.log2(np.maximum(sketch[at] * sign, 1))).astype(np.uint8)
 
 
 def _roles(n: int) -> list[tuple[int, int]]:
@@ -80,13 +87,13 @@ def _roles(n: int) -> list[tuple[int, int]]:
     return roles
 
 
-def signatures(shingles: np.ndarray, commonness: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def signatures(shingles: np.ndarray, sketch: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(signature, log2 of how common it may be) of the segment subsets that a set indexes.
 
-    ``commonness`` is the log2 of the corpus count for each sketch counter.
+    ``sketch`` has the signed corpus counts of all counters.
     """
     found, costs = [], []
-    element, cost = _mix(shingles), commonness[_counters(shingles)]
+    element, cost = _mix(shingles), _costs(shingles, sketch)
     for band, differing in _roles(len(shingles)):
         segments = np.uint64(4 * 4 ** band)
         segment = _mix(shingles ^ np.uint64(band + 1)) % segments
@@ -118,26 +125,30 @@ def signatures(shingles: np.ndarray, commonness: np.ndarray) -> tuple[np.ndarray
 def _scan_sets(docs: DataFrame) -> DataFrame:
     """One pass over all texts: (doc_id, n, node) for each row, and the task's sketch of element counts in slices."""
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        sketch = np.zeros(1 << SKETCH_BITS, dtype=np.int64)
+        sketch, seen = np.zeros(1 << SKETCH_BITS, dtype=np.int64), set()
         for f in frames:
             sets = [shingle_set(t) for t in f.text]
+            nodes = [set_number(s) for s in sets]
             for at in range(0, len(sets), 500):
-                sketch += np.bincount(_counters(np.concatenate(sets[at:at + 500])), minlength=len(sketch))
-            yield pd.DataFrame({"doc_id": f.doc_id, "n": [len(s) for s in sets], "node": [set_number(s) for s in sets],
-                                "slice": None, "counts": None})
-        parts = np.split(np.minimum(sketch, 0xFFFFFFFF).astype("<u4"), SLICES)
+                new = {n: s for n, s in zip(nodes[at:at + 500], sets[at:at + 500]) if n not in seen}  # equal sets count once a task
+                seen.update(new)
+                if new:
+                    counter, sign = _counters(np.concatenate(list(new.values())))
+                    sketch += np.bincount(2 * counter + (sign > 0), minlength=2 * len(sketch)).reshape(-1, 2) @ [-1, 1]
+            yield pd.DataFrame({"doc_id": f.doc_id, "n": [len(s) for s in sets], "node": nodes, "slice": None, "counts": None})
+        parts = np.split(sketch.astype("<i4"), SLICES)
         yield pd.DataFrame({"doc_id": None, "n": 0, "node": 0, "slice": range(SLICES), "counts": [p.tobytes() for p in parts]})
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(run, "doc_id long, n long, node long, slice int, counts binary")
 
 
-def _commonness(scanned: DataFrame) -> np.ndarray:
-    """log2 of the corpus counts of all sketch counters, added up on the cluster."""
+def _sketch(scanned: DataFrame) -> np.ndarray:
+    """The signed corpus counts of all sketch counters, added up on the cluster."""
     def add(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sums: dict[int, np.ndarray] = {}
         for f in frames:
             for at, raw in zip(f["slice"], f.counts):
-                sums[at] = sums.get(at, 0) + np.frombuffer(raw, dtype="<u4").astype(np.int64)
+                sums[at] = sums.get(at, 0) + np.frombuffer(raw, dtype="<i4").astype(np.int64)
         yield pd.DataFrame({"slice": list(sums), "counts": [v.tobytes() for v in sums.values()]})
 
     parts = scanned.where("slice is not null").select("slice", "counts").repartition(SLICES, "slice")
@@ -145,10 +156,10 @@ def _commonness(scanned: DataFrame) -> np.ndarray:
     out = np.zeros((SLICES, (1 << SKETCH_BITS) // SLICES), dtype=np.int64)
     for r in rows:
         out[r["slice"]] = np.frombuffer(bytes(r["counts"]), dtype=np.int64)
-    return np.ceil(np.log2(np.maximum(out.ravel(), 1))).astype(np.uint8)
+    return out.ravel()
 
 
-def _index(docs: DataFrame, commonness: np.ndarray) -> DataFrame:
+def _index(docs: DataFrame, sketch: np.ndarray) -> DataFrame:
     """(sig, salt, salts, node, n) of every set; a task indexes equal sets once."""
     usual = int(GROUP_ROWS).bit_length() - 1
 
@@ -162,7 +173,7 @@ def _index(docs: DataFrame, commonness: np.ndarray) -> DataFrame:
                     if not len(shingles) or (node := set_number(shingles)) in seen:
                         continue
                     seen.add(node)
-                    sig, cost = signatures(shingles, commonness)
+                    sig, cost = signatures(shingles, sketch)
                     for column, values in zip(columns, (sig.view(np.int64), cost, np.full(len(sig), node), np.full(len(sig), len(shingles)))):
                         column.append(values)
                 if not columns[0]:
@@ -186,7 +197,7 @@ def _met(index: DataFrame) -> DataFrame:
     def pairs(rows: DataFrame) -> DataFrame:
         return rows.where("_first.node < _last").select("sig", "node", "n", F.col("_first.node").alias("leader"), F.col("_first.n").alias("leader_n"))
 
-    inner = groups(index, ["sig", "salt"])
+    inner = stored(groups(index, ["sig", "salt"]).where("_first.node < _last or salts > 1"), "groups")
     leaders = inner.where("salts > 1").select("sig", "_first.*").distinct()
     return pairs(inner).unionByName(pairs(groups(leaders, ["sig"])))
 
@@ -267,7 +278,7 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     scanned = stored(_scan_sets(docs), "sets")
     members = scanned.where("slice is null").select("doc_id", "n", "node")
     where = members.where("n > 0 and doc_id is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    met = stored(_met(_index(docs, _commonness(scanned))), "met")
+    met = _met(_index(docs, _sketch(scanned)))
     pairs = met.where("leader != node").select(F.col("leader").alias("a"), F.col("node").alias("b"), _compatible("leader_n", "n").alias("possible"))
     pairs = stored(pairs.distinct(), "pairs")
     edges = stored(verify_pairs(docs, where, pairs.where("possible").drop("possible")), "edges")
