@@ -90,7 +90,7 @@ def learn_profiles(labelled: DataFrame, dimensions: int = DIMENSIONS) -> Profile
     parts = rows.mapInPandas(partial, "lang string, vector array<double>")
     sums = parts.select("lang", F.posexplode("vector").alias("i", "x")).groupBy("lang", "i").agg(F.sum("x").alias("x"))
     found = sums.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("i", "x"))).alias("v")).orderBy("lang").collect()
-    vectors = np.array([[e["x"] for e in r["v"]] for r in found], dtype=np.float64).reshape(len(found), -1)
+    vectors = np.array([[e["x"] for e in r["v"]] for r in found], dtype=np.float64).reshape(len(found), dimensions)
     if not len(found):
         return Profiles([], np.zeros((0, dimensions), np.float32), np.zeros(dimensions, np.float32))
     vectors /= np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-9)
