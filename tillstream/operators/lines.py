@@ -9,7 +9,7 @@ from tillstream.operators.skew import join_on_unique, split_hot
 from tillstream.schemas import ITEM
 from tillstream.session import shared_dir
 
-MAX_ITEMS = 10_000  # lines in one basket document; a larger basket travels in several parts
+MAX_ITEMS: int | None = None  # lines in one basket document; None: a basket is one document, however large
 
 
 def price_lines(df: DataFrame, price: str = "price", quantity: str = "quantity") -> DataFrame:
@@ -77,15 +77,16 @@ def _positions_by_range(lines: DataFrame, key: str, order: list[str]) -> DataFra
     )
 
 
-def item_arrays(lines: DataFrame, key: str, max_items: int = MAX_ITEMS) -> DataFrame:
-    """``basketItems`` and ``gross`` per basket from lines with ``pos`` and ``gross``, in parts.
+def item_arrays(lines: DataFrame, key: str, max_items: int | None = MAX_ITEMS) -> DataFrame:
+    """``basketItems`` and ``gross`` per basket from lines with ``pos`` and ``gross``.
 
-    A part has at most ``max_items`` lines; part n starts at line ``n * max_items``. Nearly every
-    basket is one part (``basketPart`` 0). The bound keeps a basket of any size from becoming one row.
+    A basket is one row (``basketPart`` 0) at every size, as its document is one message. Only a caller
+    that asks for parts gets them: at most ``max_items`` lines each, every one with the whole amounts.
     """
     item = F.struct("pos", *(F.col(f.name).cast(f.dataType).alias(f.name) for f in ITEM.fields))
+    part = F.lit(0).cast("bigint") if max_items is None else F.call_function("div", F.col("pos"), F.lit(max_items))
     return (
-        lines.withColumn("basketPart", F.call_function("div", F.col("pos"), F.lit(max_items)))
+        lines.withColumn("basketPart", part)
         .groupBy(key, "basketPart")
         .agg(F.sort_array(F.collect_list(item)).alias("_items"), F.first("gross").alias("gross"))
         .select(key, "basketPart", "gross", F.transform("_items", lambda i: i.dropFields("pos")).alias("basketItems"))
@@ -93,7 +94,7 @@ def item_arrays(lines: DataFrame, key: str, max_items: int = MAX_ITEMS) -> DataF
 
 
 def assemble_baskets(headers: DataFrame, lines: DataFrame, key: str, hot: DataFrame | None = None,
-                     rate: float = VAT_RATE, max_items: int = MAX_ITEMS) -> DataFrame:
+                     rate: float = VAT_RATE, max_items: int | None = MAX_ITEMS) -> DataFrame:
     """Nested baskets with their amounts: a header row per basket and its lines (with ``pos`` and ``gross``).
 
     Baskets without lines drop out.

@@ -23,7 +23,7 @@ STREAM_SALTS = 32
 class Retail:
     """Entities over one folder of tables, each built at most once per query."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, hot_rows: int = MIN_ROWS, max_items: int = MAX_ITEMS):
+    def __init__(self, spark: SparkSession, sf_dir: str, hot_rows: int = MIN_ROWS, max_items: int | None = MAX_ITEMS):
         self.spark, self.sf_dir, self.hot_rows, self.max_items = spark, sf_dir, hot_rows, max_items
         self._tables: dict[str, DataFrame] = {}
 
