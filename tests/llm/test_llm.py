@@ -327,3 +327,15 @@ def test_pipeline_stages(spark):
     assert {x.doc_id for x in one.collect()} == want and one.columns == d.columns
     masked = stages[3](spark, kept, "")
     assert {x.doc_id for x in masked.where("text like '%<secret>%'").collect()} == {104} and masked.columns == d.columns
+
+
+def test_parity_sketches_never_differ_in_more_bits_than_sets_do_in_elements():
+    r = np.random.default_rng(5)
+    for size in (1, 2, 40, 41, 700, 9000):
+        for changed in (0, 1, size // 7, size // 2, 3 * size):
+            a = r.integers(0, 2 ** 63, size).astype(np.uint64)
+            b = np.concatenate((a[changed // 2:], r.integers(0, 2 ** 63, changed).astype(np.uint64)))
+            bits = jaccard.differing_bits(jaccard.parity_sketch(a), jaccard.parity_sketch(b))
+            assert bits <= len(np.setxor1d(a, b)) and (changed or not bits)
+    far = [jaccard.parity_sketch(r.integers(0, 2 ** 63, 300).astype(np.uint64)) for _ in range(2)]
+    assert 7 * jaccard.differing_bits(*far) > 600

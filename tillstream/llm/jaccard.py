@@ -10,6 +10,8 @@ a segment that may differ by one counts for two; if even that is too little, the
 
 Sets that meet become candidates of the smallest set they meet with and are verified exactly. Groups of linked
 sets are found as connected components; only where candidates failed are other pairs that met verified as well.
+Before texts are fetched, a pair is dropped if the parity sketches of its sets differ in more bits than linked sets
+may differ in elements, which proves that they do not link.
 Equal sets are one node, numbered by a 64-bit hash of the set.
 """
 
@@ -62,6 +64,24 @@ def set_number(shingles: np.ndarray) -> int:
     return (total + 2 ** 63) % 2 ** 64 - 2 ** 63
 
 
+def parity_sketch(shingles: np.ndarray) -> bytes:
+    """For each residue of the elements, modulo a power of two of at least 2n, the parity of their number.
+
+    Sets that differ in d elements differ in at most d bits. A longer sketch folds onto a shorter one.
+    """
+    size = 1 << max(6, (2 * len(shingles) - 1).bit_length())
+    odd = np.bincount((shingles & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def differing_bits(a: bytes, b: bytes) -> int:
+    """In how many bits two parity sketches differ: never more than their sets differ in elements."""
+    short, long = sorted((np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)), key=len)
+    while len(long) > len(short):
+        long = long[:len(long) // 2] ^ long[len(long) // 2:]
+    return int(np.bitwise_count(short ^ long).sum())
+
+
 def _band(n: int) -> int:
     """Size band: sizes from 4**band to 4**(band + 1) - 1."""
     return (n.bit_length() - 1) // 2
@@ -123,7 +143,7 @@ def signatures(shingles: np.ndarray, sketch: np.ndarray) -> tuple[np.ndarray, np
 
 
 def _scan_sets(docs: DataFrame) -> DataFrame:
-    """One pass over all texts: (doc_id, n, node) for each row, and the task's sketch of element counts in slices."""
+    """One pass over all texts: (doc_id, n, node, bits) for each row, and the task's sketch of element counts in slices."""
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sketch, seen = np.zeros(1 << SKETCH_BITS, dtype=np.int64), set()
         for f in frames:
@@ -135,11 +155,13 @@ def _scan_sets(docs: DataFrame) -> DataFrame:
                 if new:
                     counter, sign = _counters(np.concatenate(list(new.values())))
                     sketch += np.bincount(2 * counter + (sign > 0), minlength=2 * len(sketch)).reshape(-1, 2) @ [-1, 1]
-            yield pd.DataFrame({"doc_id": f.doc_id, "n": [len(s) for s in sets], "node": nodes, "slice": None, "counts": None})
+            yield pd.DataFrame({"doc_id": f.doc_id, "n": [len(s) for s in sets], "node": nodes,
+                                "bits": [parity_sketch(s) for s in sets], "slice": None, "counts": None})
         parts = np.split(sketch.astype("<i4"), SLICES)
-        yield pd.DataFrame({"doc_id": None, "n": 0, "node": 0, "slice": range(SLICES), "counts": [p.tobytes() for p in parts]})
+        yield pd.DataFrame({"doc_id": None, "n": 0, "node": 0, "bits": None, "slice": range(SLICES), "counts": [p.tobytes() for p in parts]})
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(run, "doc_id long, n long, node long, slice int, counts binary")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(
+        run, "doc_id long, n long, node long, bits binary, slice int, counts binary")
 
 
 def _sketch(scanned: DataFrame) -> np.ndarray:
@@ -160,7 +182,7 @@ def _sketch(scanned: DataFrame) -> np.ndarray:
 
 
 def _index(docs: DataFrame, sketch: np.ndarray) -> DataFrame:
-    """(sig, salt, salts, node, n) of every set; a task indexes equal sets once."""
+    """(sig, salt, salts, node, n) of every set, with 48 bits of each signature; a task indexes equal sets once."""
     usual = int(GROUP_ROWS).bit_length() - 1
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -174,7 +196,7 @@ def _index(docs: DataFrame, sketch: np.ndarray) -> DataFrame:
                         continue
                     seen.add(node)
                     sig, cost = signatures(shingles, sketch)
-                    for column, values in zip(columns, (sig.view(np.int64), cost, np.full(len(sig), node), np.full(len(sig), len(shingles)))):
+                    for column, values in zip(columns, ((sig >> np.uint64(16)).view(np.int64), cost, np.full(len(sig), node), np.full(len(sig), len(shingles)))):
                         column.append(values)
                 if not columns[0]:
                     continue
@@ -206,6 +228,17 @@ def _compatible(a: str, b: str):
     return F.greatest(a, b) * 3 <= F.least(a, b) * 4
 
 
+def plausible_pairs(pairs: DataFrame, where: DataFrame) -> DataFrame:
+    """The (a, b) of ``pairs`` (nodes) that may link by their parity sketches in ``where`` (node, n, bits)."""
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            differ = [differing_bits(a, b) for a, b in zip(f.bits_a, f.bits_b)]
+            yield f.loc[7 * np.array(differ, dtype=np.int64) <= f.n_a + f.n_b, ["a", "b"]]
+
+    of = [where.select(F.col("node").alias(c), F.col("n").alias(f"n_{c}"), F.col("bits").alias(f"bits_{c}")) for c in "ab"]
+    return pairs.join(of[0], "a").join(of[1], "b").select("a", "b", "n_a", "n_b", "bits_a", "bits_b").mapInPandas(run, "a long, b long")
+
+
 def verify_pairs(docs: DataFrame, where: DataFrame, pairs: DataFrame) -> DataFrame:
     """The (a, b) of ``pairs`` (nodes) whose sets have a Jaccard similarity of at least 3/4, by their texts.
 
@@ -216,7 +249,8 @@ def verify_pairs(docs: DataFrame, where: DataFrame, pairs: DataFrame) -> DataFra
     dealt = pairs.join(parts, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("parts")).alias("part"))
     wanted = dealt.select("a", "part", F.col("b").alias("node")).unionByName(
         dealt.select("a", "part", F.col("a").alias("node")).distinct())
-    rows = wanted.join(where, "node").join(docs.select("doc_id", "text"), "doc_id").select(
+    wanted = stored(wanted.join(where.select("node", "doc_id"), "node"), "wanted")  # stored: its size is known when texts are fetched
+    rows = wanted.join(docs.select("doc_id", "text"), "doc_id").select(
         "a", "part", "node", (F.col("node") != F.col("a")).alias("partner"), "text")
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -277,11 +311,12 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     """
     scanned = stored(_scan_sets(docs), "sets")
     members = scanned.where("slice is null").select("doc_id", "n", "node")
-    where = members.where("n > 0 and doc_id is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
+    where = stored(scanned.where("slice is null and n > 0 and doc_id is not null").groupBy("node").agg(
+        F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("bits").alias("bits")), "nodes")
     met = _met(_index(docs, _sketch(scanned)))
     pairs = met.where("leader != node").select(F.col("leader").alias("a"), F.col("node").alias("b"), _compatible("leader_n", "n").alias("possible"))
     pairs = stored(pairs.distinct(), "pairs")
-    edges = stored(verify_pairs(docs, where, pairs.where("possible").drop("possible")), "edges")
+    edges = stored(verify_pairs(docs, where, plausible_pairs(pairs.where("possible").drop("possible"), where)), "edges")
     roots = connected_components(edges)
 
     # Members that did not link with their leader, directly or through others: there, all that met are compared.
@@ -296,7 +331,8 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     left, right = [rows.select("sig", *[F.col(c).alias(f"{c}_{s}") for c in ("node", "n", "root")]) for s in "ab"]
     more = left.join(right, "sig").where((F.col("node_a") < F.col("node_b")) & (F.col("root_a") != F.col("root_b")) & _compatible("n_a", "n_b"))
     more = more.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct().join(pairs.drop("possible"), ["a", "b"], "left_anti")
-    late = stored(verify_pairs(docs, where, stored(more, "late")), "late_edges")
+    likely = stored(plausible_pairs(stored(more, "late"), where), "likely")
+    late = stored(verify_pairs(docs, where, likely), "late_edges")
     if late.limit(1).count():
         roots = connected_components(edges.unionByName(late))
 
