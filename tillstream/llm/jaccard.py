@@ -30,6 +30,7 @@ SHINGLE = 5
 SKETCH_BITS = 19  # counters of the commonness sketch: its size is fixed, whatever the corpus
 SLICES = 64
 GROUP_ROWS = 1 << 14  # expected rows of one segment subset in one group; commoner ones are dealt over several
+BLOCK = 1024  # members of one segment subset compared by one task with as many others at a time
 MEMBERS = 500  # candidates of one set verified by one task at a time
 
 _MUL = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
@@ -239,6 +240,64 @@ def plausible_pairs(pairs: DataFrame, where: DataFrame) -> DataFrame:
     return pairs.join(of[0], "a").join(of[1], "b").select("a", "b", "n_a", "n_b", "bits_a", "bits_b").mapInPandas(run, "a long, b long")
 
 
+def _likely_in_group(node: np.ndarray, n: np.ndarray, root: np.ndarray, first: np.ndarray, bits: list[bytes], crossed: bool) -> Iterator[np.ndarray]:
+    """(a, b) of one group whose sizes and parity sketches let them link, of different roots; ``crossed``: one of them in ``first``."""
+    lengths = np.array([len(x) for x in bits])
+    classes = {k: (at := np.flatnonzero(lengths == k), np.frombuffer(b"".join(bits[i] for i in at), np.uint64).reshape(len(at), -1)) for k in np.unique(lengths)}
+    for k, (at, own) in classes.items():
+        against = [(at, own, True)]
+        if 2 * k in classes:  # partners have at most 4/3 of the size: the same sketch length or the next
+            longer, wide = classes[2 * k]
+            half = wide.shape[1] // 2
+            against.append((longer, wide[:, :half] ^ wide[:, half:], False))
+        for i, sketch in zip(at, own):
+            for others, sketches, same in against:
+                ok = (root[others] != root[i]) & (3 * np.maximum(n[others], n[i]) <= 4 * np.minimum(n[others], n[i]))
+                ok &= (first[others] != first[i]) if crossed else True
+                ok &= (others > i) if same else True
+                if not ok.any():
+                    continue
+                others_ok = others[ok]
+                differ = np.bitwise_count(sketches[ok] ^ sketch).sum(axis=1, dtype=np.int64)
+                found = node[others_ok[7 * differ <= n[others_ok] + n[i]]]
+                if len(found):
+                    yield np.stack([np.minimum(found, node[i]), np.maximum(found, node[i])], axis=1)
+
+
+def likely_within(rows: DataFrame, where: DataFrame) -> DataFrame:
+    """The (a, b) of sets (nodes) that share a ``sig`` of ``rows`` (sig, node, n, root), have different roots and may link.
+
+    The pairs of a group are compared by parity sketch (``where``: node, bits) inside tasks and only those that pass leave
+    them. A group is dealt over blocks; a task holds two blocks at most, whatever the size of the group.
+    """
+    sizes = rows.groupBy("sig").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"), F.min("root").alias("low"), F.max("root").alias("high"))
+    dealt = rows.join(sizes.where("low < high").select("sig", "blocks"), "sig").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    dealt = dealt.withColumn("other", every).join(where.select("node", "bits"), "node").select(
+        "sig", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "node", "n", "root", "bits")
+    keys = ["sig", "low", "high"]
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def compare(f: pd.DataFrame, cuts: np.ndarray) -> pd.DataFrame:
+            node, n, root, low, high, block = (f[c].to_numpy() for c in ("node", "n", "root", "low", "high", "block"))
+            bits, found = list(f.bits), [np.empty((0, 2), dtype=np.int64)]
+            for s, e in zip(cuts[:-1], cuts[1:]):
+                found += _likely_in_group(node[s:e], n[s:e], root[s:e], block[s:e] == low[s], bits[s:e], low[s] != high[s])
+            return pd.DataFrame(np.concatenate(found), columns=["a", "b"])
+
+        rest = None
+        for f in frames:
+            f = f if rest is None else pd.concat([rest, f], ignore_index=True)
+            at = f[keys].to_numpy()
+            cuts = np.concatenate(([0], np.flatnonzero((at[1:] != at[:-1]).any(axis=1)) + 1))
+            yield compare(f, cuts)  # all groups but the last, which may go on in the next frame
+            rest = f.iloc[cuts[-1]:]
+        if rest is not None:
+            yield compare(rest.reset_index(drop=True), np.array([0, len(rest)]))
+
+    return dealt.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(run, "a long, b long").distinct()
+
+
 def verify_pairs(docs: DataFrame, where: DataFrame, pairs: DataFrame) -> DataFrame:
     """The (a, b) of ``pairs`` (nodes) whose sets have a Jaccard similarity of at least 3/4, by their texts.
 
@@ -328,10 +387,7 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     rows = met.join(mixed, "sig", "left_semi").select("sig", F.explode(F.array(
         F.struct("node", "n"), F.struct(F.col("leader").alias("node"), F.col("leader_n").alias("n")))).alias("x")).select("sig", "x.*").distinct()
     rows = stored(rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "mixed")
-    left, right = [rows.select("sig", *[F.col(c).alias(f"{c}_{s}") for c in ("node", "n", "root")]) for s in "ab"]
-    more = left.join(right, "sig").where((F.col("node_a") < F.col("node_b")) & (F.col("root_a") != F.col("root_b")) & _compatible("n_a", "n_b"))
-    more = more.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct().join(pairs.drop("possible"), ["a", "b"], "left_anti")
-    likely = stored(plausible_pairs(stored(more, "late"), where), "likely")
+    likely = stored(likely_within(rows, where).join(pairs.drop("possible"), ["a", "b"], "left_anti"), "likely")
     late = stored(verify_pairs(docs, where, likely), "late_edges")
     if late.limit(1).count():
         roots = connected_components(edges.unionByName(late))
