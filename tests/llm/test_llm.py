@@ -339,3 +339,25 @@ def test_parity_sketches_never_differ_in_more_bits_than_sets_do_in_elements():
             assert bits <= len(np.setxor1d(a, b)) and (changed or not bits)
     far = [jaccard.parity_sketch(r.integers(0, 2 ** 63, 300).astype(np.uint64)) for _ in range(2)]
     assert 7 * jaccard.differing_bits(*far) > 600
+
+
+def test_blocks_of_a_group_lose_no_likely_pair(spark, monkeypatch, scratch):
+    import itertools
+
+    import numpy as np
+    from tillstream.llm import jaccard
+
+    monkeypatch.setattr(jaccard, "BLOCK", 3)
+    rng = np.random.default_rng(5)
+    base = np.unique(rng.integers(0, 2 ** 63, 40).astype(np.uint64))
+    sets = [np.unique(np.concatenate((base[:k], rng.integers(0, 2 ** 63, 4).astype(np.uint64)))) for k in rng.integers(20, 40, 17)]
+    bits = [jaccard.parity_sketch(s) for s in sets]
+    rows = [(sig, i, len(sets[i]), i % 4) for sig, members in ((1, range(17)), (2, range(5)), (3, (4, 8))) for i in members]
+    found = jaccard.likely_within(
+        spark.createDataFrame(rows, "sig long, node long, n int, root long"),
+        spark.createDataFrame([(i, bytearray(b)) for i, b in enumerate(bits)], "node long, bits binary"))
+    wanted = {(a, b) for a, b in itertools.combinations(range(17), 2)
+              if a % 4 != b % 4 and 3 * max(len(sets[a]), len(sets[b])) <= 4 * min(len(sets[a]), len(sets[b]))
+              and 7 * jaccard.differing_bits(bits[a], bits[b]) <= len(sets[a]) + len(sets[b])}
+    rows = [tuple(r) for r in found.collect()]
+    assert wanted and len(rows) == len(set(rows)) and set(rows) == wanted
