@@ -73,6 +73,12 @@ def test_keyed_topic_has_tombstones_and_needs_a_record_for_wide_keys(spark):
     assert [(r.product, r.subtotal, r.op) for r in back.orderBy("seq").collect()] == [("p", 1.0, "U"), ("q", None, "D")]
 
 
+def test_messages_of_a_batch_are_newest_per_key(spark):
+    rows = [("a", "3", 3), ("b", "1", 1), ("a", "1", 1), ("b", None, 4), ("a", "2", 2)]
+    sent = out_topics.in_order(spark.createDataFrame(rows, "key string, value string, seq long").repartition(5))
+    assert sorted(tuple(x) for x in sent.collect()) == [("a", "3", 3), ("b", None, 4)]
+
+
 def test_missing_packages_are_named(spark):
     with pytest.raises(AnalysisException, match="(?i)kafka"):
         in_topics.read_topic(spark, "broker:1", "t")

@@ -234,11 +234,18 @@ def publish_json(r: Retail) -> DataFrame:
 
 
 def upsert_topic(r: Retail) -> DataFrame:
-    """Payment changes as messages of a keyed topic, deletes without value, and back to current rows."""
+    """Payment changes as messages of a keyed topic, deletes without value, and back to current rows.
+
+    Inserts are sent as one batch and revisions as a second; offsets are given in the order of sending.
+    """
     changes = created_seconds(r.payment_changes)
     schema = T.StructType([*PAYMENT_MESSAGE.fields, T.StructField("created_s", T.LongType())])
-    messages = out_topics.upsert_messages(changes, ["invoiceNumber"], out_topics.json_encoder())
-    stored = messages.withColumnRenamed("seq", "offset")
+    path = r.scratch("topic")
+    for batch, sent in enumerate((F.col("op") == "I", F.col("op") != "I")):
+        messages = out_topics.upsert_messages(changes.where(sent), ["invoiceNumber"], out_topics.json_encoder())
+        offset = F.monotonically_increasing_id() + F.lit(batch << 60)
+        out_topics.in_order(messages).select("key", "value", offset.alias("offset")).write.mode("append").parquet(path)
+    stored = r.spark.read.parquet(path)
     decoded = in_topics.decode_upserts(stored, schema, ["invoiceNumber"], in_topics.json_decoder(schema))
     return live_rows(decoded, ["invoiceNumber"], ["seq"])
 
