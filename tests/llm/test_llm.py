@@ -4,6 +4,7 @@ import collections
 import hashlib
 import itertools
 import random
+import re
 import zlib
 
 import numpy as np
@@ -361,3 +362,32 @@ def test_blocks_of_a_group_lose_no_likely_pair(spark, monkeypatch, scratch):
               and 7 * jaccard.differing_bits(bits[a], bits[b]) <= len(sets[a]) + len(sets[b])}
     rows = [tuple(r) for r in found.collect()]
     assert wanted and len(rows) == len(set(rows)) and set(rows) == wanted
+
+
+SECRET_LINES = [('DB_PASS="g7$kP!x9@Lq2"', "g7$kP!x9@Lq2"), ("pwd: correct-horse-battery-staple", "correct-horse-battery-staple"),
+                ("bearer QwErTyUiOpAsDfGhJkLzXcVb", "QwErTyUiOpAsDfGhJkLzXcVb"), ("private_key: hunter2", "hunter2"), ("password=Tr0ub4dor&3", "Tr0ub4dor&3")]
+
+
+def test_secrets_of_any_form_are_masked(spark):
+    prose = "the password is required for the token of 12 people, says the author on page 17"
+    unknown = [f"deploy ghp_{'0a1B2c3D4e5F6g7H8i9J0kLmNoPq'[n:] + 'RsTuVwXyZ012'} now" for n in range(12)]  # no fixed pattern knows them
+    rows = [*AWKWARD, *((50 + i, f"{prose}\n{line}\n{prose}") for i, (line, _) in enumerate(SECRET_LINES)), *((70 + i, t) for i, t in enumerate(unknown * 20)), (60, prose)]
+    chain = secret_scan.learn_secrets(docs(spark, rows))
+    got = {x.doc_id: x.text for x in secret_scan.mask_secrets(docs(spark, rows), chain).collect()}
+    for i, (line, secret) in enumerate(SECRET_LINES):
+        head, tail = got[50 + i].split(prose)[1].strip("\n"), got[50 + i].split(prose)[2]
+        assert "<secret>" in head and not set(re.findall(r"\w+", secret)) & set(re.findall(r"\w+", head)) and tail == ""
+    assert all("ghp_" not in got[70 + i] for i in range(12)) and got[60] == prose and got[6] == AWKWARD[7][1]
+
+
+def test_secret_stretches_are_the_best_sequence_of_the_whole_text():
+    r = random.Random(9)
+    chain = secret_scan.train_chain(secret_scan.generated_runs(400))
+    noisy = secret_scan.Chain(np.random.default_rng(1).normal(size=chain.emit.shape) / 2, np.random.default_rng(2).normal(size=(4, 3)))
+    for field, n in itertools.product((chain, noisy), range(40)):
+        text = " ".join(r.choice([words(r, 1), "the", "pwd:", "a=b", "\n", '"x$1!', *(s for s, _ in SECRET_LINES)]) for _ in range(n))
+        want = field.tags(secret_scan.token_rows(text)[1]) if text.split() else []
+        got = [2] * len(want)
+        for low, tags in secret_scan._Scan(field).tags(text):
+            got[low:low + len(tags)] = tags
+        assert got == want
