@@ -391,3 +391,15 @@ def test_secret_stretches_are_the_best_sequence_of_the_whole_text():
         for low, tags in secret_scan._Scan(field).tags(text):
             got[low:low + len(tags)] = tags
         assert got == want
+
+
+def test_decontamination_counts_windows_that_fit(spark):
+    item = "Tom Baker buys 12 apples and 7 pears for 30 dollars then walks 5 km home with the heavy bag of fruit"
+    fives = "Every morning a small bakery sells 5 loaves and 5 cakes to all of the people who live nearby"
+    passage = " ".join(f"The {a} was seen by all those who came along the old road to the mill that evening and nobody said a word" for a in ("fox", "owl", "hare"))
+    bench = spark.createDataFrame([(1, item), (2, fives), (3, passage)], "item_id long, text string")
+    rows = [(1, item.replace("7", "12")), (2, fives.replace("5", "3", 1).replace("5", "4")), (3, passage.replace("The owl", "This owl")),
+            (4, item.replace("12", "8").replace("30", "8")), (5, passage.replace("The", "This", 1))]
+    got = {(x.doc_id, x.item_id): x for x in decontaminate.find_contamination(docs(spark, rows), bench).collect()}
+    assert set(got) == {(1, 1), (2, 2), (3, 3), (4, 1), (5, 3)} and got[1, 1].coverage == got[2, 2].coverage == got[4, 1].coverage == 1
+    assert got[1, 1].changed_slots and got[2, 2].changed_slots and got[3, 3].coverage < 1

@@ -2,20 +2,21 @@
 
 Texts become templates: numbers, names and units are replaced by typed placeholders, all other words are kept in
 lower case and punctuation is left out. Windows of a template are hashed; windows of documents join windows of
-benchmark items. The values that stood in the slots of matching windows are compared: one value of the item must
-always stand for one value of the document and the other way round. So a question with other numbers or names is
-found, and a chance match of templates with mixed-up values is not.
+benchmark items. The values that stood in the slots of matching windows are compared per alignment: windows with the
+item's own values always count, and others if each name and unit stands for what it mostly stands for there. Numbers may
+fall together or apart, as they do in a question with other numbers.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 WINDOW = 8
 MIN_WORDS = 5  # words of a window that are no placeholders (of a shorter item: at least 3)
@@ -125,18 +126,39 @@ def document_windows(docs: DataFrame, keep: np.ndarray, widths: list[int]) -> Da
     return rows.mapInPandas(run, "doc_id long, doc_pos long, hash long, width int, doc_slots array<string>")
 
 
-def _one_to_one(pairs: Column) -> Column:
-    """Whether each item value stands for one document value and the other way round."""
-    left, right = (F.size(F.array_distinct(F.transform(pairs, lambda p: p[c]))) for c in ("item", "doc"))
-    return (F.size(pairs) == left) & (F.size(pairs) == right)
+def _fitting(aligned: DataFrame) -> DataFrame:
+    """(doc_id, item_id, place, changed) of the windows of alignments (doc_id, item_id, windows) that count.
+
+    Windows with the item's own values always do. Of the others, those do not in which a name or unit stands for
+    something else than in most windows of the alignment, nor do any if four or more numbers of the item all
+    became one number.
+    """
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            rows = []
+            for doc, item, windows in zip(f.doc_id, f.item_id, f.windows):
+                pairs = [(int(w["item_pos"]), list(zip(w["item_slots"], w["doc_slots"]))) for w in windows]
+                votes = Counter(p for _, own in pairs for p in set(own) if not p[0][0].isdigit())
+                stands: dict[str, str] = {}
+                for (a, b), _ in sorted(votes.items(), key=lambda v: (-v[1], v[0][0] != v[0][1], v[0])):
+                    stands.setdefault(a, b)
+                numbers = {p for _, own in pairs for p in own if p[0][0].isdigit()}
+                mixed_up = len({a for a, _ in numbers}) >= 4 and len({b for _, b in numbers}) == 1
+                fit = [(place, own) for place, own in pairs
+                       if all(a == b for a, b in own) or not mixed_up and all(a[0].isdigit() or stands[a] == b for a, b in own)]
+                changed = any(a != b for _, own in fit for a, b in own)
+                rows += [(doc, item, place, changed) for place in {p for p, _ in fit}]
+            yield pd.DataFrame(rows, columns=["doc_id", "item_id", "place", "changed"])
+
+    return aligned.mapInPandas(run, "doc_id long, item_id long, place int, changed boolean")
 
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, min_coverage: float = MIN_COVERAGE) -> DataFrame:
     """(doc_id, item_id, n_windows, n_found, coverage, changed_slots): documents that hold a benchmark item.
 
-    A document holds an item when at least ``min_coverage`` of the item's template windows occur in it with
-    consistent slots; slots are compared per alignment, so the same question with two sets of values counts.
-    ``changed_slots`` says that values differ from the item's. Items of fewer than three words are not looked for.
+    A document holds an item when at least ``min_coverage`` of the item's windows occur in it with
+    fitting slots; slots are compared per alignment, so the same question with two sets of values counts.
+    ``changed_slots`` says that values differ from the item's in every alignment. Items of fewer than three words are not looked for.
     Null or empty texts hold nothing; rows without doc_id or item_id are left out; rows repeated with one doc_id
     are one document; repeated items are found once each. An empty table on either side gives no rows.
     """
@@ -146,14 +168,10 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, min_coverage: floa
     keep = np.zeros(1 << FILTER_BITS, dtype=bool)
     keep[[r["b"] for r in buckets]] = True
     met = document_windows(docs, keep, sorted(widths)).join(items, ["hash", "width"])
-    pairs = F.arrays_zip(F.col("item_slots").alias("item"), F.col("doc_slots").alias("doc"))
     aligned = met.groupBy("doc_id", "item_id", (F.col("doc_pos") - F.col("item_pos")).alias("shift")).agg(
-        F.collect_set("item_pos").alias("places"),  # as many as the item has windows, at most
-        F.array_distinct(F.flatten(F.collect_set(pairs))).alias("pairs"))
-    fit = aligned.where(_one_to_one(F.col("pairs"))).select(
-        "doc_id", "item_id", F.explode("places").alias("place"), F.exists("pairs", lambda p: p["item"] != p["doc"]).alias("changed"))
-    found = fit.groupBy("doc_id", "item_id").agg(
-        F.count_distinct("place").alias("n_found"), F.min("changed").alias("changed_slots"))
+        F.collect_set(F.struct("item_pos", "item_slots", "doc_slots")).alias("windows"))  # as many as the item has windows, for each text of a doc_id
+    found = _fitting(aligned).groupBy("doc_id", "item_id", "place").agg(F.min("changed").alias("changed")).groupBy("doc_id", "item_id").agg(
+        F.count(F.lit(1)).alias("n_found"), F.min("changed").alias("changed_slots"))
     sizes = items.groupBy("item_id").agg(F.count_distinct("item_pos").alias("n_windows"))
     return found.join(sizes, "item_id").withColumn("coverage", F.col("n_found") / F.col("n_windows")).where(
         F.col("coverage") >= min_coverage).select("doc_id", "item_id", "n_windows", "n_found", "coverage", "changed_slots")
