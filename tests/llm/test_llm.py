@@ -403,3 +403,11 @@ def test_decontamination_counts_windows_that_fit(spark):
     got = {(x.doc_id, x.item_id): x for x in decontaminate.find_contamination(docs(spark, rows), bench).collect()}
     assert set(got) == {(1, 1), (2, 2), (3, 3), (4, 1), (5, 3)} and got[1, 1].coverage == got[2, 2].coverage == got[4, 1].coverage == 1
     assert got[1, 1].changed_slots and got[2, 2].changed_slots and got[3, 3].coverage < 1
+
+
+def test_decontamination_finds_items_of_few_words(spark):
+    items = ["What is 17 * 24 + 9 - 3?", "Compute 12 + 7 * 3 - 5 / 2 + 9 * 4 - 6.", "Alice has 3 apples, Bob has 5, Carol has 7, Dave has 9 and Erin has 11.", "hi", "42"]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    rows = [*((10 + i, f"so they said: {t} and so on") for i, t in enumerate(items)), (20, "What is 18 * 24 + 9 - 3?"), (21, "nothing of that"), (22, None)]
+    got = decontaminate.find_contamination(docs(spark, rows), bench).collect()
+    assert {(x.doc_id, x.item_id, x.coverage, x.changed_slots) for x in got} == {(10 + i, i, 1.0, False) for i in range(5)}

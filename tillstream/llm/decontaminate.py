@@ -4,7 +4,8 @@ Texts become templates: numbers, names and units are replaced by typed placehold
 lower case and punctuation is left out. Windows of a template are hashed; windows of documents join windows of
 benchmark items. The values that stood in the slots of matching windows are compared per alignment: windows with the
 item's own values always count, and others if each name and unit stands for what it mostly stands for there. Numbers may
-fall together or apart, as they do in a question with other numbers.
+fall together or apart, as they do in a question with other numbers. An item of which no window has enough words
+is looked for by windows with its values.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -81,12 +83,27 @@ def _slots(tokens: list[str], codes: np.ndarray, at: int, width: int) -> list[st
     return [tokens[i].lower() for i in range(at, at + width) if codes[i] <= _UNIT]
 
 
+@lru_cache(maxsize=300_000)
+def _value_code(value: str) -> int:
+    return max(4, xxhash.xxh3_64_intdigest(value.lower().encode("utf-8", "replace")))
+
+
 def _rows(key, tokens, codes, width, least, keep=None) -> list[tuple]:
-    at, hashes = window_hashes(codes, width, least)
+    """Windows of a text. A width below zero stands for windows with the values of their slots, however few their words."""
+    if exact := width < 0:
+        filled = codes.copy()
+        for i in np.flatnonzero(codes <= _UNIT):
+            filled[i] = _value_code(tokens[i])
+        at, hashes = window_hashes(filled, -width, 0)
+    else:
+        at, hashes = window_hashes(codes, width, least)
     if keep is not None:
         chosen = keep[_bucket(hashes)]
         at, hashes = at[chosen], hashes[chosen]
-    return [(key, int(p), int(h), width, _slots(tokens, codes, p, width)) for p, h in zip(at, hashes)]
+    if exact and -width < WINDOW:  # an item's only window: one place is enough
+        hashes, first = np.unique(hashes, return_index=True)
+        at = at[first]
+    return [(key, int(p), int(h), width, _slots(tokens, codes, p, abs(width))) for p, h in zip(at, hashes)]
 
 
 def _bucket(hashes: np.ndarray) -> np.ndarray:
@@ -94,14 +111,19 @@ def _bucket(hashes: np.ndarray) -> np.ndarray:
 
 
 def benchmark_windows(benchmark: DataFrame) -> DataFrame:
-    """(item_id, item_pos, hash, width, item_slots); an item shorter than a window is one window of its own width."""
+    """(item_id, item_pos, hash, width, item_slots); an item shorter than a window is one window of its own width.
+
+    Items without a window of enough words have windows with their values, under the negative width.
+    """
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             rows = []
             for item, text in zip(f.item_id, f.text):
                 tokens, codes = template(text)
                 short = len(codes) < WINDOW
-                rows += _rows(item, tokens, codes, len(codes) if short else WINDOW, 3 if short else MIN_WORDS) if len(codes) else []
+                width = len(codes) if short else WINDOW
+                if len(codes):
+                    rows += _rows(item, tokens, codes, width, 3 if short else MIN_WORDS) or _rows(item, tokens, codes, -width, 0)
             yield pd.DataFrame(rows, columns=["item_id", "item_pos", "hash", "width", "item_slots"])
 
     rows = benchmark.select(F.col("item_id").cast("long"), "text").where("item_id is not null").distinct()
@@ -158,13 +180,13 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, min_coverage: floa
 
     A document holds an item when at least ``min_coverage`` of the item's windows occur in it with
     fitting slots; slots are compared per alignment, so the same question with two sets of values counts.
-    ``changed_slots`` says that values differ from the item's in every alignment. Items of fewer than three words are not looked for.
+    ``changed_slots`` says that values differ from the item's in every alignment. Every item with a token is looked for.
     Null or empty texts hold nothing; rows without doc_id or item_id are left out; rows repeated with one doc_id
     are one document; repeated items are found once each. An empty table on either side gives no rows.
     """
     items = benchmark_windows(benchmark)
     buckets = items.select(F.shiftrightunsigned("hash", 64 - FILTER_BITS).alias("b")).distinct().collect()  # 2**22 at most
-    widths = [r["width"] for r in items.select("width").distinct().collect()]  # eight at most
+    widths = [r["width"] for r in items.select("width").distinct().collect()]  # sixteen at most
     keep = np.zeros(1 << FILTER_BITS, dtype=bool)
     keep[[r["b"] for r in buckets]] = True
     met = document_windows(docs, keep, sorted(widths)).join(items, ["hash", "width"])
