@@ -411,3 +411,12 @@ def test_decontamination_finds_items_of_few_words(spark):
     rows = [*((10 + i, f"so they said: {t} and so on") for i, t in enumerate(items)), (20, "What is 18 * 24 + 9 - 3?"), (21, "nothing of that"), (22, None)]
     got = decontaminate.find_contamination(docs(spark, rows), bench).collect()
     assert {(x.doc_id, x.item_id, x.coverage, x.changed_slots) for x in got} == {(10 + i, i, 1.0, False) for i in range(5)}
+
+
+def test_packing_encodes_literals_of_added_tokens_like_the_default():
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    texts = ["end of page <|endoftext|> next", "a<|startoftext|>b <|ENDOFTEXT|> c", "<|endoftext|>", "plain Words <|", ""]
+    want = [Tokenizer.from_file(path).encode(t, add_special_tokens=False).ids for t in texts]
+    assert 49407 in want[0] and [np.frombuffer(x, dtype="<u4").tolist() for x in packing._Encoder(path)(texts)] == want

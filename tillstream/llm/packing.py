@@ -120,17 +120,20 @@ def plan_ranges(patterns: list[tuple[list[int], int]]) -> dict[str, np.ndarray]:
 class _Encoder:
     """Token ids as bytes, by words that are encoded once and kept.
 
-    No token of this vocabulary reaches over ASCII white space, and it has no upper case.
+    No other token of this vocabulary reaches over ASCII white space, and it has no upper case. Texts that hold
+    the literal of an added token go whole through the default encoder.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer, self.known, self.size = Tokenizer.from_file(path), {}, 0
-        self.tokenizer.encode_special_tokens = True
+        self.literals = [t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        words = [t.encode().lower().split() for t in texts]
+        lower = [t.lower() for t in texts]
+        special = {i for i, t in enumerate(lower) if any(x in t for x in self.literals)}
+        words = [[] if i in special else t.encode().lower().split() for i, t in enumerate(texts)]
         if self.size > CACHED_BYTES:
             self.known, self.size = {}, 0
         known = self.known
@@ -138,7 +141,10 @@ class _Encoder:
         for w, e in zip(new, self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)):
             known[w] = ids = array("I", e.ids).tobytes()
             self.size += len(w) + len(ids) + 200
-        return [b"".join(map(known.__getitem__, ws)) for ws in words]
+        out = [b"".join(map(known.__getitem__, ws)) for ws in words]
+        for i in special:
+            out[i] = array("I", self.tokenizer.encode(texts[i], add_special_tokens=False).ids).tobytes()
+        return out
 
 
 @cache
