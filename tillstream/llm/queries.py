@@ -7,9 +7,10 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tillstream.llm import chat, decontaminate, jaccard, langid, packing, page_text, quality, rules, secret_scan, shards
+from tillstream.llm import chat, decontaminate, divergence, jaccard, langid, packing, page_text, pieces, prefix_trie, quality, rules, secret_scan, shards
 
 TOKENIZER = "word_bpe_49k.json"
+PIECES = "piece_bpe_32k.model"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -86,6 +87,22 @@ def op10_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page_text.extract_text(pages, page_text.train_labeller()).withColumn("n_chars", F.length("text").cast("long"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+def op12_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    done = pieces.encode_documents(docs, public_tokenizers.path(PIECES))
+    ids = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return done.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"),
+                       F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit_sources(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -94,4 +111,4 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_jaccard_join, op2_decontamination, op3_sharding, op4_packing, op5_chat, op6_language,
-                            op7_quality, op8_rules, op9_secrets, op10_page_text, pipeline)}
+                            op7_quality, op8_rules, op9_secrets, op10_page_text, op11_prefix_trie, op12_pieces, op13_divergence, pipeline)}
