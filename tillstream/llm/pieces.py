@@ -19,8 +19,8 @@ import sentencepiece
 from pyspark.sql import DataFrame, functions as F
 
 SPACE = "▁"  # fixed value: how the models write a space
-CACHED_WORDS = 1 << 20  # encoded words kept per process
-CACHED_PAIRS = 1 << 21  # checked neighbours kept per process
+CACHED_WORDS = 1 << 19  # encoded words kept per process
+CACHED_PAIRS = 1 << 19  # checked neighbours kept per process
 CACHED_CHARS = 48  # longer words are encoded each time they occur
 ROWS = 256  # texts encoded before their ids are handed on
 
@@ -181,12 +181,9 @@ def encode_documents(docs: DataFrame, model_file: str) -> DataFrame:
     def encoded(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         own = encoder(model)
         for texts in batches:
-            parts = []
-            for first in range(0, len(texts), ROWS):
+            for first in range(0, max(1, len(texts)), ROWS):
                 ids = [own.encode(t) for t in texts.iloc[first:first + ROWS]]
-                decoded = [own.decode(i) if i else "" for i in ids]
-                parts.append(pd.DataFrame({"ids": [np.array(i, dtype=np.int32) for i in ids], "decoded": decoded}))
-            yield pd.concat(parts) if parts else pd.DataFrame({"ids": [], "decoded": []})
+                yield pd.DataFrame({"ids": [np.array(i, dtype=np.int32) for i in ids], "decoded": [own.decode(i) if i else "" for i in ids]})
 
     kept = docs.drop("ids", "decoded")
     return (
