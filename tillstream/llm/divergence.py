@@ -180,21 +180,17 @@ def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def term_counts(docs: DataFrame, least_documents: int = LEAST_DOCUMENTS) -> DataFrame:
-    """(lang, source, term, n, n_lang, first) of the kept terms: occurrences in the group and in the language.
-
-    ``first`` marks one row per language and term.
-    """
+    """(lang, source, term, n, docs, n_lang) of the kept terms: occurrences and documents in the group, occurrences in the language."""
     texts = docs.select(*(F.coalesce(F.col(c), F.lit("")).alias(c) for c in ("lang", "source", "text")))
     counts = texts.mapInArrow(_count_terms, COUNTS).repartition("lang", "term")
-    kept = (
-        counts.groupBy("lang", "term")
-        .agg(F.sum("docs").alias("docs"), F.sum("n").alias("n_lang"), F.min("source").alias("_first"))
-        .where(F.col("docs") >= least_documents).drop("docs")
+    kept = (  # it reads every column, so that both uses of the counts share one exchange
+        counts.groupBy("lang", "term").agg(F.sum("docs").alias("_all"), F.sum("n").alias("n_lang"), F.count("source").alias("_parts"))
+        .where((F.col("_all") >= least_documents) & (F.col("_parts") > 0)).drop("_all", "_parts")
     )
     return (
         counts.join(kept.hint("shuffle_hash"), ["lang", "term"])
-        .groupBy("lang", "term", "source").agg(F.sum("n").alias("n"), F.first("n_lang").alias("n_lang"), F.first("_first").alias("_first"))
-        .select("lang", "source", "term", "n", "n_lang", (F.col("source") == F.col("_first")).alias("first"))
+        .groupBy("lang", "term", "source", "n_lang").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+        .select("lang", "source", "term", "n", "docs", "n_lang")
     )
 
 
@@ -297,11 +293,12 @@ def audit_sources(docs: DataFrame, least_documents: int = LEAST_DOCUMENTS, top_t
     """
     counts = stored(term_counts(docs, least_documents), "term-counts")
     occurring = docs.select(F.coalesce("lang", F.lit("")).alias("lang"), F.coalesce("source", F.lit("")).alias("source")).distinct()
-    sums = counts.groupBy("lang", "source").agg(F.sum("n").alias("n"), F.count_if("first").alias("v"))
-    totals = occurring.join(sums, ["lang", "source"], "left").na.fill(0, ["n", "v"])
-    by_lang = totals.groupBy("lang").agg(F.sum("n").alias("n_all"), F.sum("v").alias("v"), F.count(F.lit(1)).alias("_sources"))
+    sums = counts.groupBy("lang", "source").agg(F.sum("n").alias("n"))
+    terms = counts.select("lang", "term").distinct().groupBy("lang").agg(F.count(F.lit(1)).alias("v"))
+    totals = occurring.join(sums, ["lang", "source"], "left").na.fill(0, ["n"])
+    by_lang = totals.groupBy("lang").agg(F.sum("n").alias("n_all"), F.count(F.lit(1)).alias("_sources")).join(terms, "lang", "left").na.fill(0, ["v"])
     place = (F.row_number().over(Window.partitionBy("lang").orderBy("source")) - 1).alias("_place")
-    groups = totals.drop("v").join(by_lang, "lang").select("*", place).select(
+    groups = totals.join(by_lang, "lang").select("*", place).select(
         "lang", "source", "v", F.floor(F.col("_place") / TILE).cast("int").alias("tile"),
         F.ceil(F.col("_sources") / TILE).cast("int").alias("tiles"), "n", "n_all")
     groups = stored(groups.withColumn("p0", smoothed(F.lit(0), F.col("n"), F.col("v"))), "term-groups")
