@@ -105,9 +105,17 @@ ORACLE: dict[str, str] = {
     "basket_totals": _with_views(
         'select cast(l_orderkey as varchar) as "invoiceNumber", n_items, nett, vat, total from totals', "totals"),
     "basket_assembly": _with_views(_BASKETS, "basket_flat"),
-    "cdc_normalize": _with_views(f"select {_PAYMENT}, op, seq, created_s from cdc", "cdc"),
-    "cdc_normalize_pg": _with_views(f"select {_PAYMENT}, op, seq, created_s from cdc", "cdc"),
+    "cdc_normalize": _with_views(
+        f"""select {_PAYMENT}, op, created_s, 999998 + seq // 10 % 2 + seq % 10 as log,
+                   4000000000 - seq // 10 - seq % 10 * 1000 as "offset", cast(seq % 10 > 0 as int) as logged,
+                   cast(seq % 10 as int) as row from cdc""", "cdc"),
+    "cdc_normalize_pg": _with_views(
+        f"""select {_PAYMENT}, op, created_s, cast(0 as bigint) as log, 999999990 + seq // 10 * 5 + seq % 10 as "offset",
+                   cast(1 as int) as logged, cast(0 as int) as row from cdc""", "cdc"),
     "cdc_latest": _with_views(f"select {_PAYMENT}, created_s from latest", "latest"),
+    "cdc_latest_mysql": _with_views(f"select {_PAYMENT}, created_s from latest", "latest"),
+    "cdc_latest_pg": _with_views(f"select {_PAYMENT}, created_s from latest", "latest"),
+    "cdc_handover": _with_views(f"select {_PAYMENT}, created_s from latest", "latest"),
     "payments_direct": _with_views(
         """select count(*) as payments,
                   cast((select count(*) from (select *, cast(null as bigint) as no_time from pay0) p

@@ -14,6 +14,7 @@ from tillstream.operators.completed import (
     completed_changes, live_completed, sales_completed, sales_completed_within,
 )
 from tillstream.operators.lines import basket_totals
+from tillstream.operators.positions import MYSQL_SOURCE, POSTGRES_SOURCE, handover, position
 from tillstream.operators.skew import hot_keys
 from tillstream.operators.unnest import collapse_lines, unnest_lines, unnest_sales
 from tillstream.plans.entities import Retail, created_seconds
@@ -96,31 +97,83 @@ def basket_assembly(r: Retail) -> DataFrame:
 
 # ---- change capture ---------------------------------------------------------------------------
 
-def _envelopes(changes: DataFrame, row: F.Column) -> DataFrame:
-    """Change records as a capture tool would publish them, as JSON text."""
+def _envelopes(changes: DataFrame, row: F.Column, source: F.Column) -> DataFrame:
+    """Change records as a capture tool publishes them, as JSON text, in shuffled arrival; deletes are followed by a tombstone."""
     nothing = F.lit(None)
     op = F.when(F.col("op") == "I", "c").when(F.col("op") == "U", "u").otherwise("d")
     gone = F.col("op") == "D"
-    return changes.select(F.to_json(F.struct(
-        op.alias("op"), F.when(gone, row).otherwise(nothing).alias("before"),
-        F.when(gone, nothing).otherwise(row).alias("after"), "seq")).alias("value"))
+    record = F.to_json(F.struct(op.alias("op"), F.when(gone, row).otherwise(nothing).alias("before"),
+                                F.when(gone, nothing).otherwise(row).alias("after"), source.alias("source")))
+    sent = F.when(gone, F.array(record, nothing.cast("string"))).otherwise(F.array(record))
+    return changes.select(F.explode(sent).alias("value")).repartition(F.xxhash64("value"))
 
 
-def cdc_normalize(r: Retail) -> DataFrame:
+def _revision(r: Retail) -> DataFrame:
+    """Payment changes with the number of the change within its payment (0, 1, 2) and the payment's key."""
+    return r.payment_changes.withColumns({"k": (F.col("seq") % 10).cast("int"), "key": F.call_function("div", F.col("seq"), F.lit(10))})
+
+
+def _mysql_changes(r: Retail) -> DataFrame:
+    """Payment changes out of MySQL records: later changes stand in later files at smaller offsets, and file numbers outgrow their padding."""
     wall_millis = (F.unix_seconds("created_at") + 7200) * 1000
     row = F.struct(*PAYMENT_MESSAGE.names, wall_millis.alias("created_at"))
-    messages = _envelopes(r.payment_changes, row)
-    decoded = in_topics.decode_messages(messages, in_topics.json_decoder(change_envelope(PAYMENT_ROW_MYSQL)))
-    return _flat_payments(payments_from_mysql(decoded, "+02:00"))
+    file = F.format_string("binlog.%06d", 999_998 + F.col("key") % 2 + F.col("k"))
+    source = F.struct(file.alias("file"), (4_000_000_000 - F.col("key") - F.col("k") * 1000).alias("pos"), F.col("k").alias("row"),
+                      F.when(F.col("k") == 0, "last").otherwise("false").alias("snapshot"))
+    decoder = in_topics.json_decoder(change_envelope(PAYMENT_ROW_MYSQL, MYSQL_SOURCE))
+    return payments_from_mysql(in_topics.decode_messages(_envelopes(_revision(r), row, source), decoder), "+02:00")
 
 
-def cdc_normalize_pg(r: Retail) -> DataFrame:
+def _postgres_changes(r: Retail) -> DataFrame:
+    """Payment changes out of Postgres records, whose sequence numbers pass from nine to ten digits."""
     lower = [F.col(name).alias(old) for old, name in POSTGRES_NAMES.items()]
     utc = F.concat(F.translate(utc_wall_clock(F.unix_seconds("created_at")).cast("string"), " ", "T"), F.lit("Z"))
     row = F.struct(*lower, F.col("paid").cast("decimal(10,2)").alias("paid"), utc.alias("created_at"))
-    messages = _envelopes(r.payment_changes, row)
-    decoded = in_topics.decode_messages(messages, in_topics.json_decoder(change_envelope(PAYMENT_ROW_POSTGRES)))
-    return _flat_payments(payments_from_postgres(decoded))
+    source = F.struct((999_999_990 + F.col("key") * 5 + F.col("k")).alias("lsn"), F.lit("false").alias("snapshot"))
+    decoder = in_topics.json_decoder(change_envelope(PAYMENT_ROW_POSTGRES, POSTGRES_SOURCE))
+    return payments_from_postgres(in_topics.decode_messages(_envelopes(_revision(r), row, source), decoder))
+
+
+def _flat_changes(df: DataFrame) -> DataFrame:
+    return _flat_payments(df).select("*", "position.*").drop("position")
+
+
+def cdc_normalize(r: Retail) -> DataFrame:
+    return _flat_changes(_mysql_changes(r))
+
+
+def cdc_normalize_pg(r: Retail) -> DataFrame:
+    return _flat_changes(_postgres_changes(r))
+
+
+def cdc_latest_mysql(r: Retail) -> DataFrame:
+    """Current payments of shuffled MySQL records, ordered by log file, offset and row."""
+    return _flat_payments(live_rows(_mysql_changes(r), ["invoiceNumber"], ["position"]))
+
+
+def cdc_latest_pg(r: Retail) -> DataFrame:
+    return _flat_payments(live_rows(_postgres_changes(r), ["invoiceNumber"], ["position"]))
+
+
+def cdc_handover(r: Retail) -> DataFrame:
+    """A table read in chunks while it changes, then followed in its log, equals the table replayed from its beginning.
+
+    The log is kept from the first chunk on only. Changes of a payment lie a third of the log apart.
+    """
+    key = F.call_function("div", F.col("seq"), F.lit(10))
+    span = r.sales.agg(F.max("o_orderkey").alias("last")).first()["last"] or 1
+    log = r.payment_changes.select("*", key.alias("key")).withColumn("at", F.col("key") + F.col("seq") % 10 * (span // 3 + 1))
+    log = log.withColumn("position", position(F.lit(1), F.col("at"), F.lit(1), F.lit(0))).drop("seq")
+    width = span // SLICES + 1
+    low, high = span // 4, span // 12 + 1
+    chunk = F.call_function("div", F.col("key"), F.lit(width))
+    read = low + chunk * high + high // 2  # when the chunk of a key was read
+    table = live_rows(log.where(F.col("at") <= read), ["invoiceNumber"], ["position"])
+    bounds = {"low": position(F.lit(1), low + chunk * high, F.lit(0), F.lit(0)),
+              "high": position(F.lit(1), low + (chunk + 1) * high - 1, F.lit(1), F.lit(2**31 - 1))}
+    kept = log.where(F.col("at") >= low)
+    changes = handover(table.withColumns(bounds).drop("key", "at"), kept.drop("key", "at"), "invoiceNumber")
+    return _flat_payments(live_rows(changes, ["invoiceNumber"], ["position"]))
 
 
 def cdc_latest(r: Retail) -> DataFrame:
@@ -441,6 +494,9 @@ _ENTITY_QUERIES: dict[str, Callable[[Retail], DataFrame]] = {
     "cdc_normalize": cdc_normalize,
     "cdc_normalize_pg": cdc_normalize_pg,
     "cdc_latest": cdc_latest,
+    "cdc_latest_mysql": cdc_latest_mysql,
+    "cdc_latest_pg": cdc_latest_pg,
+    "cdc_handover": cdc_handover,
     "payments_direct": payments_direct,
     "sales_completed": sales_completed_query,
     "sales_completed_1h": sales_completed_1h,

@@ -70,14 +70,13 @@ ALIASES = {
 }
 
 
-def change_envelope(row: T.StructType) -> T.StructType:
-    """Change record as log-based capture tools publish it: operation, row before and after."""
-    return T.StructType([
-        T.StructField("op", S),
-        T.StructField("before", row),
-        T.StructField("after", row),
-        T.StructField("seq", T.LongType()),
-    ])
+def change_envelope(row: T.StructType, source: T.StructType | None = None) -> T.StructType:
+    """Change record as log-based capture tools publish it: operation, row before and after, and the ``source`` block.
+
+    Without a source block records carry a number ``seq`` that orders them.
+    """
+    order = T.StructField("seq", T.LongType()) if source is None else T.StructField("source", source)
+    return T.StructType([T.StructField("op", S), T.StructField("before", row), T.StructField("after", row), order])
 
 
 def avro_schema(schema: T.StructType, name: str, namespace: str = "Sales") -> dict:
