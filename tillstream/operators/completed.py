@@ -61,6 +61,17 @@ def sales_completed(baskets: DataFrame, payments: DataFrame, hot: DataFrame | No
     return _columns(join_on_unique(baskets, payments, _join_key(salts), hot, _paid_after_sale()))
 
 
+def completed_headers(headers: DataFrame, payments: DataFrame, bound: str | None = None) -> DataFrame:
+    """Completed sales of baskets without items, and all columns of both sides (batch).
+
+    A header is small and an invoice has few, so no key is hot; items are joined from their lines afterwards, once.
+    """
+    joined = _with_valid_sale_time(headers).join(payments, "invoiceNumber").where(_paid_after_sale())
+    if bound is not None:
+        joined = joined.where(F.col("created_at") <= F.col(_SALE_TIME) + F.expr(f"interval {bound}"))
+    return joined.drop(_SALE_TIME)
+
+
 def sales_completed_within(baskets: DataFrame, payments: DataFrame, bound: str = "1 hour",
                            watermark: str | None = None, hot: DataFrame | None = None,
                            salts: int = 1) -> DataFrame:

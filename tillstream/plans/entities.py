@@ -7,8 +7,9 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tillstream.functions.event_time import millis_to_seconds, time_label
+from tillstream.functions.money import VAT_RATE
 from tillstream.operators.changes import live_rows
-from tillstream.operators.completed import sales_completed
+from tillstream.operators.completed import completed_headers, sales_completed
 from tillstream.operators.lines import (
     MAX_ITEMS, assemble_baskets, basket_totals, price_lines, with_gross, with_positions,
 )
@@ -112,6 +113,29 @@ class Retail:
             )
         )
 
+    @cached_property
+    def totals(self) -> DataFrame:
+        """Amounts and number of lines per basket."""
+        count = F.count(F.lit(1)).cast("int").alias("n_items")
+        return basket_totals(self.lines, "l_orderkey", VAT_RATE, count).withColumnRenamed("l_orderkey", "o_orderkey")
+
+    @cached_property
+    def basket_headers(self) -> DataFrame:
+        """Baskets without their items: what a join with payments needs. ``n_items`` counts the items."""
+        return self.headers.join(self.totals, "o_orderkey").drop("o_orderkey")
+
+    @cached_property
+    def completed_headers(self) -> DataFrame:
+        """Completed sales after all changes, without their items."""
+        return completed_headers(self.basket_headers, self.live_payments)
+
+    @cached_property
+    def invoice_lines(self) -> DataFrame:
+        """Basket lines under their invoice, with ``place``, which orders the lines of a basket."""
+        lines = price_lines(self._with_products(self.table("lineitem").select("l_orderkey", *LINE_ORDER)))
+        return lines.select(F.col("l_orderkey").cast("string").alias("invoiceNumber"), "category", "brand", "name", "subtotal",
+                            F.struct(*LINE_ORDER).alias("place"))
+
     @cached_property
     def baskets(self) -> DataFrame:
         """Nested baskets."""
@@ -122,7 +146,7 @@ class Retail:
     @cached_property
     def payments(self) -> DataFrame:
         """First payment of each sale: a tenth is unpaid, some are paid in the sale second or two hours late."""
-        totals = basket_totals(self.lines, "l_orderkey").select(F.col("l_orderkey").alias("o_orderkey"), "total")
+        totals = self.totals.select("o_orderkey", "total")
         key = F.col("o_orderkey")
         lag = key * 31 % 360
         created = F.when(key % 17 == 0, 0).when(key % 19 == 0, 7200).otherwise(lag + 1)

@@ -154,6 +154,12 @@ ORACLE: dict[str, str] = {
     "upsert_payments": _with_views(f"select {_PAYMENT}, created_s from latest", "latest"),
     "upsert_completed": _with_views(_COMPLETED + "completed", "completed"),
     "upsert_unnested": _with_views("select * from unnested_upsert", "unnested_upsert"),
+    "stream_newest_payments": _with_views(
+        f"select {_PAYMENT}, created_s, case op when 'D' then 'D' else 'U' end as op, seq from cdc", "cdc"),
+    "completed_revisions": _with_views(_COMPLETED + "completed", "completed"),
+    "unnested_revisions": _with_views("select * from unnested_upsert", "unnested_upsert"),
+    "topic_completed": _with_views(_COMPLETED + "completed", "completed"),
+    "topic_unnested": _with_views("select * from unnested_upsert", "unnested_upsert"),
     "stream_sales_completed": _with_views(_COMPLETED + "completed0", "completed0"),
     "stream_sales_completed_1h": _with_views(
         _COMPLETED + "completed0 where created_s <= sale_ms // 1000 + 3600", "completed0"),

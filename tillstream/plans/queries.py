@@ -11,18 +11,18 @@ from tillstream.operators.changes import (
     direct_payments, latest_per_key, live_rows, payments_from_mysql, payments_from_postgres,
 )
 from tillstream.operators.completed import (
-    completed_changes, live_completed, sales_completed, sales_completed_within,
+    completed_changes, completed_headers, live_completed, sales_completed, sales_completed_within,
 )
 from tillstream.operators.lines import basket_totals
 from tillstream.operators.positions import MYSQL_SOURCE, POSTGRES_SOURCE, handover, position
 from tillstream.operators.skew import hot_keys
-from tillstream.operators.unnest import collapse_lines, unnest_lines, unnest_sales
+from tillstream.operators.unnest import collapse_by_place, join_lines, unnest_lines, unnest_sales
 from tillstream.plans.entities import Retail, created_seconds
 from tillstream.plans.pipeline import (
     COMPLETED_CHANGE, PART, PAYMENT_CHANGE, Pipeline, completed_table, payments_table, unnested_table,
 )
 from tillstream.schemas import (
-    BASKET, PAYMENT_MESSAGE, PAYMENT_ROW_MYSQL, PAYMENT_ROW_POSTGRES, POSTGRES_NAMES, UNNESTED, UNNESTED_KEY,
+    BASKET, COMPLETED, PAYMENT_MESSAGE, PAYMENT_ROW_MYSQL, PAYMENT_ROW_POSTGRES, POSTGRES_NAMES, UNNESTED, UNNESTED_KEY,
     UNNESTED_SALES, change_envelope,
 )
 from tillstream.sinks import catalog, documents
@@ -32,6 +32,7 @@ from tillstream.sources import spool, topics as in_topics
 from tillstream.streaming.flows import (
     finish, read_files, read_table, run_metrics, start_append, start_keyed, start_table,
 )
+from tillstream.streaming.revisions import completed_revisions, line_revisions, newest_changes
 
 Query = Callable[[SparkSession, str], DataFrame]
 SLICES = 3
@@ -190,13 +191,20 @@ def payments_direct(r: Retail) -> DataFrame:
 
 # ---- joins ------------------------------------------------------------------------------------
 
+def _flat_headers(df: DataFrame) -> DataFrame:
+    """The columns of :func:`_flat_completed` from completed sales without items."""
+    return df.select(
+        "invoiceNumber", "saleDateTime_Ltz", "saleTimestamp_Epoc", "terminalPoint", "nett", "vat", "total",
+        F.col("store.id").alias("store_id"), F.col("clerk.id").alias("clerk_id"), "n_items",
+        "payDateTime_Ltz", "payTimestamp_Epoc", "paid", "finTransactionId")
+
+
 def sales_completed_query(r: Retail) -> DataFrame:
-    return _flat_completed(r.completed)
+    return _flat_headers(r.completed_headers)
 
 
 def sales_completed_1h(r: Retail) -> DataFrame:
-    return _flat_completed(sales_completed_within(
-        r.baskets, r.live_payments, hot=r.hot_invoices))
+    return _flat_headers(completed_headers(r.basket_headers, r.live_payments, "1 hour"))
 
 
 def _completed_changes(r: Retail) -> DataFrame:
@@ -212,11 +220,11 @@ def sales_completed_changelog(r: Retail) -> DataFrame:
 # ---- arrays -----------------------------------------------------------------------------------
 
 def unnested_sales(r: Retail) -> DataFrame:
-    return unnest_lines(r.completed)
+    return join_lines(r.completed_headers, r.invoice_lines, r.hot_invoices).select(*UNNESTED.names)
 
 
 def unnested_sales_upsert(r: Retail) -> DataFrame:
-    return collapse_lines(unnest_sales(r.completed))
+    return collapse_by_place(join_lines(r.completed_headers, r.invoice_lines, r.hot_invoices))
 
 
 # ---- tables and files: written, then read back ------------------------------------------------
@@ -415,6 +423,80 @@ def upsert_unnested(r: Retail) -> DataFrame:
     return table.read().select(*UNNESTED.names)
 
 
+def _in_rounds(r: Retail, name: str, inputs: list[tuple[DataFrame, F.Column]], stream: Callable[..., DataFrame]) -> DataFrame:
+    """Rows that a stream appends when its inputs arrive in three rounds (each row's round is given), each worked off by a new query."""
+    path, checkpoint, parts, inboxes = r.scratch(name), r.scratch(f"{name}-checkpoint"), [], []
+    for df, when in inputs:
+        stored, inbox = r.scratch(f"{name}-rows"), r.scratch(f"{name}-inbox")
+        df.select("*", F.least(when, F.lit(SLICES - 1)).alias("_round")).write.partitionBy("_round").parquet(stored)
+        parts.append(r.spark.read.parquet(stored))
+        inboxes.append(inbox)
+    for round_ in range(SLICES):
+        for rows, inbox in zip(parts, inboxes):
+            rows.where(F.col("_round") == round_).drop("_round").write.mode("append").parquet(inbox)
+        running = stream(*(read_files(r.spark, inbox, df.schema) for inbox, (df, _) in zip(inboxes, inputs)))
+        finish(start_append(running, path, checkpoint, name, state_partitions=r.state_partitions))
+    return r.spark.read.schema(running.schema).parquet(path)
+
+
+def _change_round() -> F.Column:
+    return (F.col("seq") % 10).cast("int")  # inserts, then updates, then deletes
+
+
+def stream_newest_payments(r: Retail) -> DataFrame:
+    """Payment changes that count, out of changes that arrive in rounds, each with all earlier ones of its payment once more."""
+    again = r.payment_changes.withColumn("_late", F.explode(F.sequence(_change_round(), F.lit(SLICES - 1))))
+    rows = again.select(*PAYMENT_CHANGE.names, "_late")
+    found = _in_rounds(r, "stream_newest_payments", [(rows, F.col("_late"))],
+                       lambda changes: newest_changes(changes.drop("_late"), ["invoiceNumber"]))
+    return _flat_payments(found)
+
+
+def _revisions(r: Retail, name: str) -> DataFrame:
+    """Revisions of completed sales: headers arrive in two rounds, inserts, updates and deletes of payments in three."""
+    baskets = (r.basket_headers, F.pmod(F.xxhash64("invoiceNumber"), F.lit(2)).cast("int"))
+    changes = (r.payment_changes.select(*PAYMENT_CHANGE.names), _change_round())
+    return _in_rounds(r, name, [baskets, changes], completed_revisions)
+
+
+def completed_revisions_query(r: Retail) -> DataFrame:
+    """Current completed sales of the revisions that a stream with header-only state gives."""
+    return _flat_headers(live_rows(_revisions(r, "completed_revisions"), ["invoiceNumber"], ["seq"]))
+
+
+def _item_changes(r: Retail, name: str) -> DataFrame:
+    lines = r.placed_lines.withColumn("invoiceNumber", F.col("l_orderkey").cast("string"))
+    return line_revisions(_revisions(r, name), lines)
+
+
+def unnested_revisions(r: Retail) -> DataFrame:
+    """The item table by newest row per key alone, from retractions of items whose sale is no longer completed."""
+    return live_rows(_item_changes(r, "unnested_revisions"), UNNESTED_KEY, ["seq"]).select(*UNNESTED.names)
+
+
+def _through_topic(r: Retail, changes: DataFrame, schema: T.StructType, key: list[str], key_schema: T.StructType | None) -> DataFrame:
+    """Current rows of a changelog sent as messages of a keyed topic and read back; offsets follow the order of sending."""
+    path = r.scratch("topic")
+    messages = out_topics.upsert_messages(changes, key, out_topics.json_encoder(), key_schema and out_topics.json_encoder())
+    out_topics.in_order(messages).select("key", "value", F.col("seq").alias("offset")).write.parquet(path)
+    decoded = in_topics.decode_upserts(r.spark.read.parquet(path), schema, key, in_topics.json_decoder(schema),
+                                       key_schema and in_topics.json_decoder(key_schema))
+    return live_rows(decoded, key, ["seq"])
+
+
+def topic_completed(r: Retail) -> DataFrame:
+    """Completed sales as documents of a keyed topic: revisions of headers, with the items put in where a message is sent."""
+    items = r.baskets.select("invoiceNumber", "basketItems")
+    documents_ = _revisions(r, "topic_completed").join(items, "invoiceNumber").select(*COMPLETED.names, "op", "seq")
+    return _flat_completed(_through_topic(r, documents_, COMPLETED, ["invoiceNumber"], None))
+
+
+def topic_unnested(r: Retail) -> DataFrame:
+    """Items as messages of a keyed topic whose key is a record of five columns."""
+    key = T.StructType([UNNESTED[k] for k in UNNESTED_KEY])
+    return _through_topic(r, _item_changes(r, "topic_unnested"), UNNESTED, UNNESTED_KEY, key).select(*UNNESTED.names)
+
+
 def stream_sales_completed(r: Retail) -> DataFrame:
     stream = sales_completed(_streamed_baskets(r), _streamed_payments(r), salts=r.salts)
     return _flat_completed(_appended(r, stream, "stream_sales_completed"))
@@ -518,6 +600,11 @@ _ENTITY_QUERIES: dict[str, Callable[[Retail], DataFrame]] = {
     "upsert_payments": upsert_payments,
     "upsert_completed": upsert_completed,
     "upsert_unnested": upsert_unnested,
+    "stream_newest_payments": stream_newest_payments,
+    "completed_revisions": completed_revisions_query,
+    "unnested_revisions": unnested_revisions,
+    "topic_completed": topic_completed,
+    "topic_unnested": topic_unnested,
     "stream_sales_completed": stream_sales_completed,
     "stream_sales_completed_1h": stream_sales_completed_1h,
     "stream_unnested_sales": stream_unnested_sales,
