@@ -11,7 +11,8 @@ from tillstream.operators.unnest import collapse_lines, unnest_sales
 from tillstream.plans.pipeline import PAYMENT_CHANGE, Pipeline, completed_table
 from tillstream.schemas import BASKETS
 from tillstream.functions.event_time import with_watermark
-from tillstream.streaming.flows import finish, read_files, run_metrics, start_append, start_keyed
+from tillstream.session import settings
+from tillstream.streaming.flows import counted, finish, read_files, run_metrics, start_append, start_keyed
 from tests.rows import SALE_S, STREAMED_BASKET, basket, baskets_df, change, changes_df, item
 
 
@@ -150,3 +151,36 @@ def test_payment_before_its_basket(spark, scratch, inboxes):
     inboxes[0].add(basket("a"))
     finish(start_append(sales_completed(inboxes[0].stream(), inboxes[1].stream()), path, cp, "early"))
     assert spark.read.schema(stream.schema).parquet(path).select(F.col("invoiceNumber")).first()[0] == "a"
+
+
+def test_run_counts_are_complete_beyond_the_kept_reports(spark, scratch, inboxes):
+    for n in range(6):
+        inboxes[0].add(*(basket(f"{n}-{i}") for i in range(n + 1)))
+    with settings(spark, {"spark.sql.streaming.numRecentProgressUpdates": "2"}), counted(spark) as counts:
+        query = start_append(inboxes[0].stream(), scratch("counted"), cp := scratch("counted-cp"), "counted")
+        finish(query)
+        found = counts.of(query)
+        assert run_metrics(query)["records"] < 21
+        again = start_append(inboxes[0].stream(), scratch("counted"), cp, "counted")  # a restart is a run of its own
+        finish(again)
+        assert counts.of(again)["records"] == 0
+    assert (found["records"], found["batches"]) == (21, 6) and found["records_per_second"] > 0
+
+
+@pytest.mark.parametrize("bound", [{"files_per_batch": 2}, {"bytes_per_batch": 1}])
+def test_no_batch_over_its_bound(spark, scratch, bound):
+    path = scratch("bounded")
+    spark.range(70).repartition(7).write.parquet(path)
+    largest = 2 if "files_per_batch" in bound else 1
+    rows = [q.n for q in spark.read.parquet(path).groupBy(F.input_file_name()).agg(F.count("*").alias("n")).collect()]
+    stream = read_files(spark, path, spark.range(1).schema, **bound)
+    query = start_append(stream, out := scratch("bounded-out"), scratch("bounded-cp"), "bounded")
+    finish(query)
+    batches = [p.numInputRows for p in query.recentProgress if p.numInputRows]
+    assert max(batches) <= largest * max(rows) and len(batches) >= 7 // largest
+    assert sorted(r.id for r in spark.read.schema(stream.schema).parquet(out).collect()) == list(range(70))
+
+
+def test_a_batch_has_one_bound(spark, scratch):
+    with pytest.raises(ValueError):
+        read_files(spark, scratch("none"), spark.range(1).schema, files_per_batch=1, bytes_per_batch=1)

@@ -72,6 +72,13 @@ def completed_headers(headers: DataFrame, payments: DataFrame, bound: str | None
     return joined.drop(_SALE_TIME)
 
 
+def header_changes(headers: DataFrame, changes: DataFrame) -> DataFrame:
+    """Like :func:`completed_changes`, for baskets without items and any number of changes per payment (batch)."""
+    joined = with_sale_time(headers).join(changes, "invoiceNumber")
+    holds = F.coalesce((F.col("op") != "D") & _paid_after_sale(), F.lit(False))
+    return joined.withColumn("op", F.when(holds, "U").otherwise("D")).drop(_SALE_TIME)
+
+
 def sales_completed_within(baskets: DataFrame, payments: DataFrame, bound: str = "1 hour",
                            watermark: str | None = None, hot: DataFrame | None = None,
                            salts: int = 1) -> DataFrame:

@@ -136,6 +136,14 @@ ORACLE: dict[str, str] = {
     "export_baskets": _with_views(_BASKETS, "basket_flat"),
     "publish_json": _with_views(_BASKETS, "basket_flat"),
     "upsert_topic": _with_views(f"select {_PAYMENT}, created_s from latest", "latest"),
+    "topic_versions": _with_views(
+        f"""select "invoiceNumber", "payDateTime_Ltz", "payTimestamp_Epoc", paid,
+                   case when o_orderkey % 2 = 1 then "finTransactionId" end as "finTransactionId", cast(null as varchar) as reason
+            from pay0 where o_orderkey % 11 <> 0 and o_orderkey % 13 <> 0 and o_orderkey % 7 <> 0 and o_orderkey % 23 <> 0
+            union all
+            select "invoiceNumber", null, null, null, null,
+                   case when o_orderkey % 11 = 0 then 'bad header' when o_orderkey % 13 = 0 then 'unknown schema' else 'unreadable' end
+            from pay0 where o_orderkey % 11 = 0 or o_orderkey % 13 = 0 or o_orderkey % 7 = 0""", "pay0"),
     "seed_dims": """
         select 'store' as kind, cast(n_nationkey as varchar) as id, n_name as name, cast(null as varchar) as surname,
                cast(null as varchar) as "storeId", cast(null as varchar) as brand, cast(null as varchar) as category,

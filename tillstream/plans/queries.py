@@ -11,7 +11,7 @@ from tillstream.operators.changes import (
     direct_payments, latest_per_key, live_rows, payments_from_mysql, payments_from_postgres,
 )
 from tillstream.operators.completed import (
-    completed_changes, completed_headers, live_completed, sales_completed, sales_completed_within,
+    COMPLETED_ORDER, completed_changes, completed_headers, header_changes, sales_completed, sales_completed_within,
 )
 from tillstream.operators.lines import basket_totals
 from tillstream.operators.positions import MYSQL_SOURCE, POSTGRES_SOURCE, handover, position
@@ -28,9 +28,10 @@ from tillstream.schemas import (
 from tillstream.sinks import catalog, documents
 from tillstream.sinks import topics as out_topics
 from tillstream.sinks.keyed_table import KeyedTable
+from tillstream.session import settings
 from tillstream.sources import spool, topics as in_topics
 from tillstream.streaming.flows import (
-    finish, read_files, read_table, run_metrics, start_append, start_keyed, start_table,
+    counted, finish, read_files, read_table, start_append, start_keyed, start_table,
 )
 from tillstream.streaming.revisions import completed_revisions, line_revisions, newest_changes
 
@@ -214,7 +215,8 @@ def _completed_changes(r: Retail) -> DataFrame:
 
 
 def sales_completed_changelog(r: Retail) -> DataFrame:
-    return _flat_completed(live_completed(_completed_changes(r)))
+    """Current completed sales out of one change per payment change, all of them."""
+    return _flat_headers(live_rows(header_changes(r.basket_headers, r.payment_changes), ["invoiceNumber"], COMPLETED_ORDER))
 
 
 # ---- arrays -----------------------------------------------------------------------------------
@@ -542,10 +544,29 @@ def stream_sales_completed_1h(r: Retail) -> DataFrame:
 
 
 def stream_progress(r: Retail) -> DataFrame:
-    query = start_append(_streamed_payments(r), r.scratch("progress"),
-                         r.scratch("progress-checkpoint"), "stream_progress")
-    finish(query)
-    return r.spark.createDataFrame([(int(run_metrics(query)["records"]),)], "records long")
+    """Records of a run, counted by a listener while the session keeps fewer reports than there are batches."""
+    with settings(r.spark, {"spark.sql.streaming.numRecentProgressUpdates": "1"}), counted(r.spark) as counts:
+        query = start_append(_streamed_payments(r), r.scratch("progress"), r.scratch("progress-checkpoint"), "stream_progress")
+        finish(query)
+        records = counts.of(query)["records"]
+    return r.spark.createDataFrame([(int(records),)], "records long")
+
+
+def topic_versions(r: Retail) -> DataFrame:
+    """Payments sent under two schema versions, with junk between: rows in today's fields, and messages with the reason of their rejection."""
+    key = F.col("o_orderkey")
+    old = T.StructType([T.StructField(n, t) for n, t in (
+        ("invoiceNumber", T.StringType()), ("payDateTime", T.StringType()), ("payTimestamp", T.StringType()), ("paid", T.DoubleType()))])
+    first = F.to_json(F.struct("invoiceNumber", F.col("payDateTime_Ltz").alias("payDateTime"), F.col("payTimestamp_Epoc").alias("payTimestamp"), "paid"))
+    second = F.to_json(F.struct(*PAYMENT_MESSAGE.names))
+    value = (
+        F.when(key % 11 == 0, F.concat(F.lit(b"\x01"), second.cast("binary")))  # another magic byte
+        .when(key % 13 == 0, in_topics.framed(99, second)).when(key % 7 == 0, in_topics.framed(2, F.lit("{}")))
+        .when(key % 23 == 0, F.lit(None).cast("binary")).when(key % 2 == 0, in_topics.framed(1, first)).otherwise(in_topics.framed(2, second)))
+    messages = r.payments.select(F.col("invoiceNumber").alias("key"), value.alias("value"))
+    decoded = in_topics.decode_versions(messages, {1: old, 2: PAYMENT_MESSAGE}, PAYMENT_MESSAGE, ["invoiceNumber", "paid"])
+    kept = in_topics.accepted(decoded).withColumn("reason", F.lit(None).cast("string"))
+    return kept.unionByName(in_topics.rejected(decoded).select(F.col("key").alias("invoiceNumber"), "reason"), allowMissingColumns=True)
 
 
 def pipeline_end_to_end(r: Retail) -> DataFrame:
@@ -594,6 +615,7 @@ _ENTITY_QUERIES: dict[str, Callable[[Retail], DataFrame]] = {
     "export_baskets": export_baskets,
     "publish_json": publish_json,
     "upsert_topic": upsert_topic,
+    "topic_versions": topic_versions,
     "seed_dims": seed_dims,
     "seed_lookup": seed_lookup,
     "stream_baskets": stream_baskets,

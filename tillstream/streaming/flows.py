@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import contextlib
+import threading
+from collections import defaultdict
+from collections.abc import Iterator
+
 from pyspark.sql import DataFrame, SparkSession, types as T
-from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery, StreamingQueryListener
 
 from tillstream.session import settings
 from tillstream.sinks.keyed_table import KeyedTable
@@ -16,11 +21,19 @@ STATE_SETTINGS = {
 }
 
 
-def read_files(spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int | None = None) -> DataFrame:
-    """Stream of Parquet files from their beginning, as a topic is read from its earliest offset."""
+def read_files(spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int | None = None,
+               bytes_per_batch: int | None = None) -> DataFrame:
+    """Stream of Parquet files from their beginning, as a topic is read from its earliest offset.
+
+    A micro-batch takes at most ``files_per_batch`` files, or files of ``bytes_per_batch`` bytes (one file at least).
+    """
+    if files_per_batch and bytes_per_batch:
+        raise ValueError("bound a batch by files or by bytes, not by both")
     reader = spark.readStream.schema(schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    if bytes_per_batch:
+        reader = reader.option("maxBytesPerTrigger", bytes_per_batch)
     return reader.parquet(path)
 
 
@@ -70,8 +83,62 @@ def finish(*queries: StreamingQuery) -> None:
         q.awaitTermination()
 
 
+class RunCounts(StreamingQueryListener):
+    """Records, batches and time of every run, added up report by report, however many reports Spark keeps."""
+
+    def __init__(self):
+        self._lock = threading.Lock()
+        self._runs: dict[str, dict] = defaultdict(lambda: {"records": 0, "batches": 0, "seconds": 0.0, "state_rows": 0})
+        self._ended: dict[str, threading.Event] = defaultdict(threading.Event)
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        with self._lock:
+            run = self._runs[str(p.runId)]
+            run["state_rows"] = sum(s.numRowsTotal for s in p.stateOperators)
+            if p.numInputRows > 0:
+                run["records"] += p.numInputRows
+                run["batches"] += 1
+                run["seconds"] += p.durationMs.get("triggerExecution", 0) / 1000
+
+    def onQueryTerminated(self, event) -> None:
+        with self._lock:
+            self._ended[str(event.runId)].set()
+
+    def so_far(self, query: StreamingQuery) -> dict[str, float]:
+        """What was reported of a run that may go on."""
+        with self._lock:
+            run = dict(self._runs[str(query.runId)])
+        return {**run, "records_per_second": run["records"] / run["seconds"] if run["seconds"] else 0.0}
+
+    def of(self, query: StreamingQuery, wait: float = 60) -> dict[str, float]:
+        """Complete counts of a run that has ended. Reports come in order, its end last."""
+        with self._lock:
+            ended = self._ended[str(query.runId)]
+        if not ended.wait(wait):
+            raise TimeoutError(f"no report of the end of {query.name}")
+        return self.so_far(query)
+
+
+@contextlib.contextmanager
+def counted(spark: SparkSession) -> Iterator[RunCounts]:
+    """Count the runs of all streams that are started inside the block."""
+    counts = RunCounts()
+    spark.streams.addListener(counts)
+    try:
+        yield counts
+    finally:
+        spark.streams.removeListener(counts)
+
+
 def run_metrics(query: StreamingQuery) -> dict[str, float]:
-    """Records and throughput of a run from its progress reports (of the reports Spark still holds)."""
+    """Records and throughput of the last reports of a run (those Spark still holds). :class:`RunCounts` has all."""
     done = [p for p in query.recentProgress if p.numInputRows > 0]
     records = sum(p.numInputRows for p in done)
     seconds = sum(p.durationMs["triggerExecution"] for p in done) / 1000
