@@ -98,6 +98,12 @@ ORACLE: dict[str, str] = {
         """select cast(o_orderkey as varchar) as "invoiceNumber", cast(sale_ms as varchar) as "saleTimestamp_Epoc",
                   sale_ms // 1000 as event_s, make_timestamp(sale_ms // 1000 * 1000000) as event_utc from sale""",
         "sale"),
+    "junk_event_time": _with_views(
+        """select b."invoiceNumber", case when b.o_orderkey % 8 = 0 then null when b.o_orderkey % 9 = 0 then "saleTimestamp_Epoc" || 'x'
+                  else "saleTimestamp_Epoc" end as "saleTimestamp_Epoc",
+                  case when b.o_orderkey % 8 <> 0 and b.o_orderkey % 9 <> 0 then sale_ms // 1000 end as event_s,
+                  b.o_orderkey % 8 <> 0 and b.o_orderkey % 9 <> 0 and b."invoiceNumber" in (select "invoiceNumber" from completed) as completed
+           from basket b""", "completed"),
     "payments_projection": _with_views(f"select {_PAYMENT} from pay0", "pay0"),
     "line_subtotals": _with_views(
         """select cast(l_orderkey as varchar) as "invoiceNumber", id, name, brand, category, price, quantity, subtotal
@@ -187,3 +193,4 @@ ORACLE: dict[str, str] = {
         select 'unnested_sales', count(*), cast(sum(cast(subtotal as decimal(18,2))) as double)
         from unnested_upsert""", "unnested_upsert"),
 }
+ORACLE["fan_out_tables"] = ORACLE["pipeline_end_to_end"]

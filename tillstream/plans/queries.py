@@ -30,6 +30,7 @@ from tillstream.sinks import topics as out_topics
 from tillstream.sinks.keyed_table import KeyedTable
 from tillstream.session import settings
 from tillstream.sources import spool, topics as in_topics
+from tillstream.streaming.fanout import read_batches, sales_sinks, start_fan_out, tagged
 from tillstream.streaming.flows import (
     counted, finish, read_files, read_table, start_append, start_keyed, start_table,
 )
@@ -569,6 +570,11 @@ def topic_versions(r: Retail) -> DataFrame:
     return kept.unionByName(in_topics.rejected(decoded).select(F.col("key").alias("invoiceNumber"), "reason"), allowMissingColumns=True)
 
 
+def _summary(df: DataFrame, name: str, amount: str) -> DataFrame:
+    return df.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("n_rows"),
+                  F.sum(F.col(amount).cast("decimal(18,2)")).cast("double").alias("amount"))
+
+
 def pipeline_end_to_end(r: Retail) -> DataFrame:
     """All streams of the flow, summarised per table."""
     flow = Pipeline.create(r.spark, r.scratch("pipeline"), salts=r.salts,
@@ -576,20 +582,49 @@ def pipeline_end_to_end(r: Retail) -> DataFrame:
     flow.run_available(_streamed_baskets(r), _streamed_changes(r))
     flow.completed.compact(0)
 
-    def summary(df: DataFrame, name: str, amount: str) -> DataFrame:
-        return df.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("n_rows"),
-                      F.sum(F.col(amount).cast("decimal(18,2)")).cast("double").alias("amount"))
+    return (
+        _summary(flow.read_baskets(), "salesbaskets", "total")
+        .unionAll(_summary(flow.read_payments(), "salespayments", "paid"))
+        .unionAll(_summary(flow.read_completed(), "salescompleted", "paid"))
+        .unionAll(_summary(flow.read_items(), "unnested_sales", "subtotal"))
+    )
+
 
+def fan_out_tables(r: Retail) -> DataFrame:
+    """All tables of the flow from one read of the input, summarised; below them plain Parquet tables and newest-per-key views."""
+    root, headers, changes = r.scratch("fan-out"), r.basket_headers, r.payment_changes.select(*PAYMENT_CHANGE.names)
+    cut = F.pmod(F.xxhash64(F.coalesce("basket.invoiceNumber", "change.invoiceNumber"), F.coalesce("change.seq", F.lit(0))), F.lit(SLICES))
+    rows = tagged(headers, changes)
+    rows.withColumn("slice", cut).write.partitionBy("slice").parquet(f"{root}/input")
+    sinks = sales_sinks(r.spark, root, headers.schema, changes.schema)
+    finish(start_fan_out(read_files(r.spark, f"{root}/input", rows.schema, SLICES), sinks, root, "fan_out_tables"))
+
+    def table(name: str, schema: T.StructType) -> DataFrame:
+        return read_batches(r.spark, f"{root}/tables/{name}", schema)
+
+    baskets = table("salesbaskets", headers.schema)
+    completed_schema = header_changes(headers, changes).schema
+    completed = live_rows(table("salescompleted", completed_schema), ["invoiceNumber"], COMPLETED_ORDER)
+    items = collapse_by_place(join_lines(completed, r.invoice_lines, r.hot_invoices))
+    payments = live_rows(table("salespayments", changes.schema), ["invoiceNumber"], ["seq"])
     return (
-        summary(flow.read_baskets(), "salesbaskets", "total")
-        .unionAll(summary(flow.read_payments(), "salespayments", "paid"))
-        .unionAll(summary(flow.read_completed(), "salescompleted", "paid"))
-        .unionAll(summary(flow.read_items(), "unnested_sales", "subtotal"))
+        _summary(baskets, "salesbaskets", "total").unionAll(_summary(payments, "salespayments", "paid"))
+        .unionAll(_summary(completed, "salescompleted", "paid")).unionAll(_summary(items, "unnested_sales", "subtotal"))
     )
 
 
+def junk_event_time(r: Retail) -> DataFrame:
+    """Sales whose epoch is missing or no number have no event time and are never completed."""
+    epoch = F.when(F.col("invoiceNumber") % 8 == 0, F.lit(None)).when(F.col("invoiceNumber") % 9 == 0, F.concat("saleTimestamp_Epoc", F.lit("x")))
+    spoiled = r.basket_headers.withColumn("saleTimestamp_Epoc", epoch.otherwise(F.col("saleTimestamp_Epoc")))
+    done = completed_headers(spoiled, r.live_payments).select("invoiceNumber", F.lit(True).alias("completed"))
+    return spoiled.select("invoiceNumber", "saleTimestamp_Epoc", F.unix_seconds(event_time(F.col("saleTimestamp_Epoc"))).alias("event_s")).join(
+        done, "invoiceNumber", "left").na.fill(False, ["completed"])
+
+
 _ENTITY_QUERIES: dict[str, Callable[[Retail], DataFrame]] = {
     "epoch_event_time": epoch_event_time,
+    "junk_event_time": junk_event_time,
     "payments_projection": payments_projection,
     "line_subtotals": line_subtotals,
     "basket_totals": basket_totals_query,
@@ -632,6 +667,7 @@ _ENTITY_QUERIES: dict[str, Callable[[Retail], DataFrame]] = {
     "stream_unnested_sales": stream_unnested_sales,
     "stream_progress": stream_progress,
     "pipeline_end_to_end": pipeline_end_to_end,
+    "fan_out_tables": fan_out_tables,
 }
 
 

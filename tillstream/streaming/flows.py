@@ -77,6 +77,12 @@ def start_keyed(df: DataFrame, table: KeyedTable, checkpoint: str, name: str, ev
     return _start(writer, df.sparkSession, name, checkpoint, every, state_partitions)
 
 
+def start_batches(df: DataFrame, write, checkpoint: str, name: str, every: str | None = None,
+                  state_partitions: int | None = None) -> StreamingQuery:
+    """Give each micro-batch and its number to ``write``, which must put up with a batch that is repeated after a failure."""
+    return _start(df.writeStream.foreachBatch(write).outputMode("append"), df.sparkSession, name, checkpoint, every, state_partitions)
+
+
 def finish(*queries: StreamingQuery) -> None:
     """Wait for streams started with ``every=None``; errors of any of them are raised."""
     for q in queries:
