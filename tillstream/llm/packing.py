@@ -25,7 +25,7 @@ CAPACITY = 4096
 END = 1
 CACHED_BYTES = 160_000_000  # of words and ids kept by one task
 
-PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, ids binary"
+PIECES = "doc_id string, piece int, start long, length long, ids_crc32 long, ids binary"
 
 
 class _Stock:
@@ -138,14 +138,26 @@ class _Encoder:
             self.known, self.size = {}, 0
         known = self.known
         new = list(set(chain.from_iterable(words)).difference(known))
-        for w, e in zip(new, self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)):
-            known[w] = ids = array("I", e.ids).tobytes()
+        for w, ids in zip(new, self._words(new)):
+            known[w] = ids
             self.size += len(w) + len(ids) + 200
         out = [b"".join(map(known.__getitem__, ws)) for ws in words]
         for i in special:
             out[i] = array("I", self.tokenizer.encode(texts[i], add_special_tokens=False).ids).tobytes()
         return out
 
+    def _words(self, words: list[bytes]) -> list[bytes]:
+        """Ids of each word. They are encoded in one call, joined by spaces, and told apart by where their tokens begin."""
+        if not words:
+            return []
+        texts = [w.decode() for w in words]
+        encoded = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
+        starts = np.cumsum([0, *(len(t) + 1 for t in texts)])
+        begins = np.fromiter((o[0] for o in encoded.offsets), dtype=np.int64, count=len(encoded.ids))
+        ends = 4 * np.searchsorted(begins, starts[1:])
+        ids = array("I", encoded.ids).tobytes()
+        return [ids[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())]
+
 
 @cache
 def _encoder(path: str) -> _Encoder:
@@ -167,11 +179,11 @@ def tokenized_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPAC
                     for n, start in enumerate(range(0, len(ids), width)):
                         own = ids[start:start + width]
                         rows.append((doc_id, n, start // 4, len(own) // 4, zlib.crc32(own), own if with_ids else None))
-                out = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32", "ids"])
-                out["doc_id"] = out["doc_id"].astype("Int64")
-                yield out
+                yield pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32", "ids"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(pieces, PIECES)
+    # As text, since pandas turns a column of numbers with a null in it into doubles.
+    found = docs.select(F.col("doc_id").cast("long").cast("string").alias("doc_id"), "text").mapInPandas(pieces, PIECES)
+    return found.withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
 def pack_documents(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end: int = END,
@@ -184,6 +196,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACIT
     """
     found = tokenized_pieces(docs, tokenizer_path, capacity, end, with_ids)
     numbered = number_within(found if with_ids else found.drop("ids"), ["length"], "_number")
+    numbered = numbered.withColumn("doc_id", F.col("doc_id").cast("string"))
     counts = {r["length"]: r["n"] for r in numbered.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     ranges = plan_ranges(plan_patterns(counts, capacity))
     kept = [c for c in numbered.columns if c != "_number"]
@@ -199,7 +212,8 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACIT
             yield out
 
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in numbered.select(*kept).schema)
-    return numbered.mapInPandas(place, f"{fields}, sequence_id long, offset long")
+    placed = numbered.mapInPandas(place, f"{fields}, sequence_id long, offset long")
+    return placed.withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
 def sequences(packed: DataFrame) -> DataFrame:
