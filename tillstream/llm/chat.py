@@ -21,7 +21,7 @@ HISTORY = 128  # of these, tokens of repeated turns
 OPEN, CLOSE = "### ", "</turn>\n"
 TARGET = "assistant"
 
-WINDOW_FIELDS = "conv_id long, window int, formatted string, turns array<struct<begin:int,end:int,repeated:boolean,target:boolean>>"
+WINDOW_FIELDS = "conv_id string, window int, formatted string, turns array<struct<begin:int,end:int,repeated:boolean,target:boolean>>"
 
 _TOKEN = re.compile(r"\w+|[^\w\s]")
 _TURN = re.compile(r"### (.*?):\n(.*?)</turn>\n", re.S)
@@ -110,8 +110,7 @@ def format_windows(conversations: DataFrame, budget: int = BUDGET, history: int
     come one after the other, which :func:`read_windows` relies on.
     """
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows = ((None if c is pd.NA else int(c), r, t)
-                for f in frames for c, r, t in zip(f.conv_id.astype("Int64"), f.role, f.text))
+        rows = (row for f in frames for row in zip(f.conv_id, f.role, f.text))
         batch, size = [], 0
         for row in _windows(rows, budget, history):
             batch.append(row)
@@ -124,14 +123,15 @@ def format_windows(conversations: DataFrame, budget: int = BUDGET, history: int
 
     def _frame(batch: list[tuple]) -> pd.DataFrame:
         out = pd.DataFrame(batch, columns=["conv_id", "window", "formatted", "turns"])
-        out["conv_id"] = out["conv_id"].astype("Int64")
         out["turns"] = [[dict(zip(("begin", "end", "repeated", "target"), t)) for t in ts] for ts in out["turns"]]
         return out
 
     rows = conversations.select(F.col("conv_id").cast("long"), F.col("turn").cast("long"),
                                 F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
     ordered = rows.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
-    return ordered.mapInPandas(run, WINDOW_FIELDS)
+    # Numbers pass as text, since pandas turns a column of numbers with a null in it into doubles.
+    windows = ordered.withColumn("conv_id", F.col("conv_id").cast("string")).mapInPandas(run, WINDOW_FIELDS)
+    return windows.withColumn("conv_id", F.col("conv_id").cast("long"))
 
 
 def read_windows(windows: DataFrame) -> DataFrame:
@@ -143,8 +143,7 @@ def read_windows(windows: DataFrame) -> DataFrame:
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         conv, rows, state = None, [], None
         for f in frames:
-            for conv_id, text, turns in zip(f.conv_id.astype("Int64"), f.formatted, f.turns):
-                key = None if conv_id is pd.NA else int(conv_id)
+            for key, text, turns in zip(f.conv_id, f.formatted, f.turns):
                 if state is None or key != conv:
                     rows += [] if state is None else [_closed(conv, state)]
                     conv, state = key, [0, hashlib.sha256(), 0, hashlib.sha256(), 0]
@@ -171,9 +170,8 @@ def read_windows(windows: DataFrame) -> DataFrame:
     names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
 
     def _frame(rows: list[tuple]) -> pd.DataFrame:
-        out = pd.DataFrame(rows, columns=names)
-        out["conv_id"] = out["conv_id"].astype("Int64")
-        return out
+        return pd.DataFrame(rows, columns=names)
 
-    return windows.mapInPandas(run, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, "
-                                    "loss_sha256 string, formatted_chars long")
+    read = windows.withColumn("conv_id", F.col("conv_id").cast("string")).mapInPandas(
+        run, "conv_id string, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
+    return read.withColumn("conv_id", F.col("conv_id").cast("long"))

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from collections.abc import Callable, Iterator
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tillstream.session import scratch_dir
 
@@ -16,6 +19,23 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def from_texts(texts: Column, make: Callable[[], Callable[[list], list[tuple]]], fields: str, rows: int = 256) -> Column:
+    """A struct of ``fields`` for each text (or null). ``make()`` gives, once per task, the function from a list of texts to rows.
+
+    Only the text passes through Python, ``rows`` at a time: ids and other columns stay in the JVM as they are.
+    """
+    names = [f.split()[0] for f in fields.split(", ")]
+
+    @F.pandas_udf(fields)
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        work = make()
+        for batch in batches:
+            for at in range(0, max(1, len(batch)), rows):
+                yield pd.DataFrame(work(batch.iloc[at:at + rows].tolist()), columns=names)
+
+    return run(texts)
+
+
 def number_within(df: DataFrame, keys: list[str], name: str) -> DataFrame:
     """Add ``name``: 0, 1, 2 ... without gaps among the rows of each key (keys are not null).
 

@@ -161,8 +161,10 @@ def _scan_sets(docs: DataFrame) -> DataFrame:
         parts = np.split(sketch.astype("<i4"), SLICES)
         yield pd.DataFrame({"doc_id": None, "n": 0, "node": 0, "bits": None, "slice": range(SLICES), "counts": [p.tobytes() for p in parts]})
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(
-        run, "doc_id long, n long, node long, bits binary, slice int, counts binary")
+    # Numbers pass as text, since pandas turns a column of numbers with a null in it into doubles.
+    scanned = docs.select(F.col("doc_id").cast("long").cast("string").alias("doc_id"), "text").mapInPandas(
+        run, "doc_id string, n long, node long, bits binary, slice int, counts binary")
+    return scanned.withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
 def _sketch(scanned: DataFrame) -> np.ndarray:

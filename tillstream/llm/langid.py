@@ -9,11 +9,14 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
+from tillstream.llm.common import from_texts
+
 DIMENSIONS = 512
 LETTERS = 1024  # code 0 is everything that is no letter; letters beyond 768 share the upper codes
 UNDETERMINED = "und"
@@ -62,6 +65,11 @@ class Encoder:
         return out / norm if norm else out
 
 
+@cache
+def _encoder(dimensions: int) -> Encoder:
+    return Encoder(dimensions)  # its tables are made once per process
+
+
 @dataclass(frozen=True)
 class Profiles:
     """Learned prototypes, one row per language, of length one, after their common part was taken off."""
@@ -79,7 +87,7 @@ def learn_profiles(labelled: DataFrame, dimensions: int = DIMENSIONS) -> Profile
     letters) says nothing about a language and is subtracted.
     """
     def partial(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode, sums = Encoder(dimensions), {}
+        encode, sums = _encoder(dimensions), {}
         for f in frames:
             for text, lang in zip(f.text, f.lang):
                 if (v := encode.bundle(text)) is not None:
@@ -104,13 +112,15 @@ def predict_language(docs: DataFrame, profiles: Profiles, text: str = "text") ->
     """``docs`` with ``lang_pred`` and ``score`` (cosine with the prototype, 0 to 1), from the whole text alone.
 
     Null text and text without a letter: ``und``, score 0; the same when nothing was learned. Of equal cosines
-    the first language by name wins. Rows are judged one by one; other columns pass through unread.
+    the first language by name wins. Rows are judged one by one; other columns do not pass through Python, and columns
+    named ``lang_pred`` or ``score`` (in any case) are replaced.
     """
-    def score(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = Encoder(profiles.prototypes.shape[1])
-        for f in frames:
+    def judge():
+        encode = _encoder(profiles.prototypes.shape[1])
+
+        def score(texts: list) -> list[tuple]:
             found = []
-            for t in f[text]:
+            for t in texts:
                 v = None if t is None or not profiles.languages else encode.bundle(t)
                 if v is None:
                     found.append((UNDETERMINED, 0.0))
@@ -119,7 +129,9 @@ def predict_language(docs: DataFrame, profiles: Profiles, text: str = "text") ->
                 cosines = profiles.prototypes @ v / max(float(np.linalg.norm(v)), 1e-9)
                 best = int(cosines.argmax())
                 found.append((profiles.languages[best], float(min(1.0, max(0.0, cosines[best])))))
-            yield f.assign(lang_pred=[x[0] for x in found], score=[x[1] for x in found])
+            return found
+
+        return score
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name not in ("lang_pred", "score"))
-    return docs.drop("lang_pred", "score").mapInPandas(score, f"{fields}, lang_pred string, score double")
+    judged = docs.drop("lang_pred", "score").withColumn("_of_text", from_texts(F.col(text), judge, "lang_pred string, score double"))
+    return judged.withColumns({n: F.col(f"_of_text.{n}") for n in ("lang_pred", "score")}).drop("_of_text")

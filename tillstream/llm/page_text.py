@@ -18,6 +18,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
+from tillstream.llm.common import from_texts
+
 PATH, WORDS, RATIOS = 96, 32, 8
 HIDDEN = 16
 PAGES, EPOCHS, BATCH, RATE = 1500, 12, 30, 0.01
@@ -339,17 +341,12 @@ def extract_text(pages: DataFrame, net: Labeller, html: str = "html") -> DataFra
     """``pages`` with ``html`` replaced by ``text``: the blocks labelled as article, in page order, joined by newlines.
 
     Character references are decoded and white space in a block becomes one space. Null or empty html, and pages
-    without an article block, give an empty text. Rows are read one by one; other columns pass through.
+    without an article block, give an empty text. Rows are read one by one; other columns do not pass through Python, and a
+    column named ``text`` (in any case) is replaced.
     """
-    kept = [c for c in pages.columns if c not in (html, "text")]
-
-    def extract(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            for at in range(0, len(f), 256):
-                part = f.iloc[at:at + 256]
-                own = [blocks(p) for p in part[html]]
-                texts = ["\n".join(b.text for b, yes in zip(bs, keep) if yes) for bs, keep in zip(own, net.keep(own))]
-                yield part[kept].assign(text=texts)
-
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pages.select(*kept).schema)
-    return pages.select(*kept, F.col(html)).mapInPandas(extract, f"{fields}{', ' if kept else ''}text string")
+    def extract(markup: list) -> list[tuple]:
+        own = [blocks(p) for p in markup]
+        return [("\n".join(b.text for b, yes in zip(bs, keep) if yes),) for bs, keep in zip(own, net.keep(own))] if own else []
+
+    source = pages.withColumn("_html", F.col(html)).drop(html, "text")
+    return source.withColumn("text", from_texts(F.col("_html"), lambda: extract, "text string")["text"]).drop("_html")

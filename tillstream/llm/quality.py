@@ -14,6 +14,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
+from tillstream.llm.common import from_texts
+
 CHUNK, STEP = 32, 16
 EMBEDDING, FILTERS = 8, 24
 RECENCY = np.array([16, 64, 512])  # distances to the same four bytes; the last bucket is farther or never
@@ -153,11 +155,8 @@ def learn_quality(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_DOCS,
 def score_quality(docs: DataFrame, network: Network, text: str = "text") -> DataFrame:
     """``docs`` with ``score``, the probability of label 1 from the whole text alone.
 
-    Null text counts as empty and is scored like any other. Rows are judged one by one; other columns pass through.
+    Null text counts as empty and is scored like any other. Rows are judged one by one; other columns do not pass through
+    Python, and a column named ``score`` (in any case) is replaced.
     """
-    def score(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            yield f.assign(score=[float(network.score(t)) for t in f[text]])
-
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != "score")
-    return docs.drop("score").mapInPandas(score, f"{fields}, score double")
+    scored = from_texts(F.col(text), lambda: lambda texts: [(float(network.score(t)),) for t in texts], "score double")
+    return docs.drop("score").withColumn("score", scored["score"])

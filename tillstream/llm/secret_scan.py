@@ -24,6 +24,8 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
+from tillstream.llm.common import from_texts, stored
+
 KINDS = ["assign", "access", "hex", "crf"]
 TAGS = ["B", "I", "O"]
 SAMPLE_RUNS = 6000  # bound of the runs taken from the corpus for training
@@ -471,6 +473,7 @@ def learn_secrets(docs: DataFrame, sample: int = SAMPLE_RUNS) -> Chain:
 
     texts = docs.select("text").where("text is not null")
     found = texts.mapInPandas(pieces, "telling boolean, h long, about string, piece string").groupBy("telling", "h", "piece").agg(F.min("about").alias("about"))
+    found = stored(found, "secret-pieces")  # both halves are read from one pass over the texts
     runs = generated_runs()
     for telling in (True, False):
         for r in found.where(F.col("telling") == telling).orderBy("h", "piece").limit(sample // 2).collect():
@@ -482,23 +485,22 @@ def find_secrets(docs: DataFrame, chain: Chain, text: str = "text") -> DataFrame
     """``docs`` with ``secret_spans``, an array of (kind, start, end) in code points, by start, then kind.
 
     Spans of the fixed patterns stay as they are; the field adds what it finds outside of them. Null or empty
-    text has no spans. Rows are scanned one by one; other columns pass through.
+    text has no spans. Rows are scanned one by one; other columns do not pass through Python, and a column named
+    ``secret_spans`` (in any case) is replaced.
     """
-    def scan(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            yield f.assign(secret_spans=[[{"kind": k, "start": s, "end": e} for k, s, e in all_spans(t or "", chain)] for t in f[text]])
+    def scan(texts: list) -> list[tuple]:
+        return [([{"kind": k, "start": s, "end": e} for k, s, e in all_spans(t or "", chain)],) for t in texts]
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != "secret_spans")
-    return docs.drop("secret_spans").mapInPandas(scan, f"{fields}, secret_spans array<struct<kind:string,start:bigint,end:bigint>>")
+    found = from_texts(F.col(text), lambda: scan, "secret_spans array<struct<kind:string,start:bigint,end:bigint>>")
+    return docs.drop("secret_spans").withColumn("secret_spans", found["secret_spans"])
 
 
 def mask_secrets(docs: DataFrame, chain: Chain, text: str = "text", mask: str = "<secret>") -> DataFrame:
     """``docs`` with every span of :func:`find_secrets` in ``text`` replaced by ``mask``; null text stays null."""
-    def blank(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            yield f.assign(**{text: [None if t is None else _masked(t, all_spans(t, chain), mask) for t in f[text]]})
+    def blank(texts: list) -> list[tuple]:
+        return [(None if t is None else _masked(t, all_spans(t, chain), mask),) for t in texts]
 
-    return docs.mapInPandas(blank, docs.schema)
+    return docs.withColumn(text, from_texts(F.col(text), lambda: blank, "masked string")["masked"])
 
 
 def _masked(text: str, spans: list[tuple[str, int, int]], mask: str) -> str:
