@@ -23,6 +23,7 @@ from tillstream.llm.common import number_within
 
 CAPACITY = 4096
 END = 1
+JOINED_WORDS = 8192  # words encoded in one call
 CACHED_BYTES = 160_000_000  # of words and ids kept by one task
 
 PIECES = "doc_id string, piece int, start long, length long, ids_crc32 long, ids binary"
@@ -134,13 +135,16 @@ class _Encoder:
         lower = [t.lower() for t in texts]
         special = {i for i, t in enumerate(lower) if any(x in t for x in self.literals)}
         words = [[] if i in special else t.encode().lower().split() for i, t in enumerate(texts)]
-        if self.size > CACHED_BYTES:
-            self.known, self.size = {}, 0
+        if self.size > CACHED_BYTES:  # words of the present texts stay: the common ones are among them
+            self.known = {w: self.known[w] for w in set(chain.from_iterable(words)).intersection(self.known)}
+            self.size = sum(len(w) + len(ids) + 200 for w, ids in self.known.items())
         known = self.known
         new = list(set(chain.from_iterable(words)).difference(known))
-        for w, ids in zip(new, self._words(new)):
-            known[w] = ids
-            self.size += len(w) + len(ids) + 200
+        for at in range(0, len(new), JOINED_WORDS):
+            some = new[at:at + JOINED_WORDS]
+            for w, ids in zip(some, self._words(some)):
+                known[w] = ids
+                self.size += len(w) + len(ids) + 200
         out = [b"".join(map(known.__getitem__, ws)) for ws in words]
         for i in special:
             out[i] = array("I", self.tokenizer.encode(texts[i], add_special_tokens=False).ids).tobytes()
