@@ -14,8 +14,8 @@ import math
 import random
 import re
 import zlib
-from collections import Counter
-from collections.abc import Iterator
+from bisect import bisect_right
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
 
@@ -48,8 +48,10 @@ _PREFIX = re.compile(r"AKIA|ASIA|gh[pousr]_|sk[-_]|pk[-_]|xox[abprs]-|eyJ|AIza|g
 _TELLING = re.compile(_KEY_WORD.pattern + r"|[0-9]", re.I)
 _EDGES = "\"'`,.;:()[]{}<>!?"
 _KINDS_BEFORE, _MIXES = 5, 64  # kinds of a part before a token; mixes of characters of a part
-_WORD = re.compile(r"(\W*?)([A-Za-z][a-z]+)(\W*)", re.A)  # a part of which only the size and entropy of its letters count
+_WORD = re.compile(r"([^\w+/-]*)([^\W\d_]{2,})([^\w+/-]*)")  # a part with one token, which has letters only
 _HEX_WORD = re.compile(r"[A-Fa-f]+")
+_LATIN = re.compile(r"[a-z]+")
+_ENTROPIES = [2, 2.5, 3, 3.5, 4, 4.5]
 _CACHED = 500_000  # parts and tokens whose scores a process keeps
 
 
@@ -70,8 +72,22 @@ def _bucket(x: float, *limits: float) -> int:
 
 
 def _entropy(token: str) -> int:
-    n = len(token)
-    return _bucket(-sum(k / n * math.log2(k / n) for k in Counter(token).values()), 2, 2.5, 3, 3.5, 4, 4.5)
+    n, kinds = len(token), set(token)
+    if len(kinds) < 4:
+        return 0
+    repeats = sum(k * math.log2(k) for k in map(token.count, kinds) if k > 1) if len(kinds) < n else 0
+    return bisect_right(_ENTROPIES, math.log2(n) - repeats / n + 1e-9)
+
+
+class _Cases(dict):
+    """What the case of a letter is."""
+
+    def __missing__(self, letter: str) -> int:
+        self[letter] = letter.islower() + 2 * letter.isupper() + 4 * letter.istitle()
+        return self[letter]
+
+
+_case = _Cases().__getitem__
 
 
 def _token_features(token: str) -> list[str]:
@@ -79,7 +95,7 @@ def _token_features(token: str) -> list[str]:
     kinds = "".join(sorted({"d" if c.isdigit() else "a" if c.islower() else "A" if c.isupper() else "p" for c in token}))
     changes = sum(a.isdigit() != b.isdigit() for a, b in zip(token, token[1:])) / n
     hexed = re.fullmatch(r"[0-9a-fA-F]+", token) is not None
-    words = max(map(len, re.findall(r"[a-z]+", token.lower())), default=0)
+    words = max(map(len, _LATIN.findall(token.lower())), default=0)
     return [f"len{_bucket(n, 8, 12, 16, 20, 24, 32, 48)}", f"kinds{kinds}", f"changes{_bucket(changes, .05, .15, .3, .45)}",
             f"entropy{_entropy(token)}", f"hex{hexed}{_bucket(n, 16, 32)}",
             f"word{_bucket(words, 3, 5, 7, 10)}", f"prefix{bool(_PREFIX.match(token))}", f"dots{_bucket(token.count('.'), 1, 2, 3)}",
@@ -193,6 +209,18 @@ class Chain:
         return self._scan.spans(text)
 
 
+class _Known(dict):
+    """Numbers of parts; a new part is learned."""
+
+    def __init__(self, learn: Callable[[str], int]):
+        super().__init__()
+        self.learn = learn
+
+    def __missing__(self, part: str) -> int:
+        self[part] = at = self.learn(part)
+        return at
+
+
 class _Scan:
     """Decodes whole texts; scores of parts are computed once and kept."""
 
@@ -208,18 +236,23 @@ class _Scan:
         self.clear()
 
     def clear(self) -> None:
-        self.known, self.words, self.rows, self.n_parts, self.n_tokens = {}, {}, {}, 0, 0
+        self.known, self.words, self.rows, self.n_parts, self.n_tokens = _Known(self.learn), {}, {}, 0, 0
         self.parts = np.zeros((1024, 4), dtype=np.int64)  # kind, mix, first token, number of tokens
         self.scores, self.inside = np.zeros((1024, 3)), np.zeros(1024, dtype=np.int64)
 
-    def learn(self, part: str) -> None:
+    def learn(self, part: str) -> int:
+        """Number of a part. Words that agree in all that their features are made of share one."""
         word = _WORD.fullmatch(part)
-        if word and not _KEY_WORD.search(part):
+        if word and word[2].isalpha() and not _KEY_WORD.search(part):
             letters = word[2]
-            like = (word[1], word[3], letters[0].isupper(), min(len(letters), 48), _entropy(letters), _HEX_WORD.fullmatch(letters) is None)
+            n = len(letters)
+            plain = letters.isascii() and letters.islower()
+            cases = (1, 1) if plain else (_case(letters[0]), frozenset(map(_case, letters[1:])))
+            latin = n if plain else max(map(len, _LATIN.findall(letters.lower())), default=0)
+            like = (word[1], word[3], cases, min(n, 48), min(latin, 10), _entropy(letters), _HEX_WORD.fullmatch(letters) is None,
+                    not plain and _PREFIX.match(letters) is not None)
             if like in self.words:
-                self.known[part] = self.words[like]
-                return
+                return self.words[like]
             self.words[like] = self.n_parts
         _, rows, inside, mix = _part_rows(part)
         at, n, end = self.n_parts, self.n_tokens, self.n_tokens + len(rows)
@@ -228,7 +261,6 @@ class _Scan:
             self.parts = np.concatenate((self.parts, np.zeros_like(self.parts)))
         while end > len(self.scores):
             self.scores, self.inside = (np.concatenate((x, np.zeros_like(x))) for x in (self.scores, self.inside))
-        self.known[part] = at
         self.parts[at] = _part_kind(part), mix, n, len(rows)
         for i, row in enumerate(map(tuple, rows)):
             if (score := self.rows.get(row)) is None:
@@ -236,14 +268,15 @@ class _Scan:
             self.scores[n + i] = score
         self.inside[n:end] = inside
         self.n_tokens = end
+        return at
 
     def token_scores(self, text: str) -> np.ndarray:
         """Scores of the tags of all tokens of a text."""
         parts = _PART.findall(text)
-        if max(self.n_tokens, len(self.known), len(self.rows), len(self.words)) > _CACHED:
+        if max(self.n_tokens, len(self.rows), len(self.words)) > _CACHED:
             self.clear()
-        for part in set(parts).difference(self.known):
-            self.learn(part)
+        elif len(self.known) > _CACHED:
+            self.known.clear()  # most come back by the words they are like
         ids = np.fromiter(map(self.known.__getitem__, parts), dtype=np.int64, count=len(parts))
         kind, mix, first, n = self.parts[ids].T
         ends = np.cumsum(n)
@@ -461,6 +494,8 @@ def learn_secrets(docs: DataFrame, sample: int = SAMPLE_RUNS) -> Chain:
                 about = json.dumps(_file_features(text))
                 for piece in _PIECE.findall(text):
                     h = xxhash.xxh3_64_intdigest(piece.encode("utf-8", "replace")) >> 1
+                    if h >= max(worst.values()):
+                        continue
                     telling = _TELLING.search(piece) is not None
                     if h < worst[telling] and _teaches(piece[:4000], _known_places(piece[:4000])):
                         own = best[telling]
