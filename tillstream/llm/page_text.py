@@ -25,9 +25,12 @@ HIDDEN = 16
 PAGES, EPOCHS, BATCH, RATE = 1500, 12, 30, 0.01
 SEED = 11
 
-_MARK = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|svg|select|textarea|title|iframe)\b[^>]*>.*?(?:</\1\s*>|\Z)"
-    r"|<(/?)([a-zA-Z][\w:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>|</?[a-zA-Z][^<>]*>", re.S | re.I)
+_START = re.compile(r"<(?:(/?)([a-zA-Z][\w:-]*)|!--|[!?/])")
+_USUAL = re.compile(r"<(/?)([a-zA-Z][\w:-]*+)([^<>\"']*+(?:\"[^<>\"]*+\"[^<>\"']*+)*+)>")  # reads up to the next mark at most
+_UNQUOTED = re.compile(r"[^<>\"']*")
+_UNBROKEN = re.compile(r"[^<>]*>")
+# Elements whose content is no text of the page, up to their end tag (fixed values).
+_RAW = {tag: re.compile(rf"</{tag}\s*>", re.I) for tag in "script style noscript template svg select textarea title iframe".split()}
 _NAMES = re.compile(r"""\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
 _PART = re.compile(r"[a-z]+")
 _SPACE = re.compile(r"\s+")
@@ -39,22 +42,87 @@ _CLOSED_BY = {"p": {"p", "div", "ul", "ol", "table", "section", "article", "asid
                     "blockquote", "h1", "h2", "h3", "h4", "h5", "h6", "figure", "hr", "dl"},
               "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"},
               "option": {"option"}}
-_DEPTH = 64  # open elements looked at for an end tag or a path
+_NEAR = 6  # open elements that make up a path
 
 
 @dataclass
 class Block:
-    """Text of a leaf block, its path (name and attribute words per open element) and how much of it is in links."""
+    """Text of a leaf block, its path (name and attribute words of the nearest open elements) and how much of it is in links."""
 
     text: str
     path: list[str]
     linked: int
 
 
+class _Marks:
+    """Marks of a page, each place of which is read a fixed number of times, however broken the marks are."""
+
+    def __init__(self, page: str):
+        self.page = page
+        self.unclosed: set[int] = set()  # opening quotes from which no tag end is reached
+        self.missing: set[str] = set()  # characters that do not come any more
+
+    def find(self, char: str, at: int) -> int:
+        found = -1 if char in self.missing else self.page.find(char, at)
+        if found < 0:
+            self.missing.add(char)
+        return found
+
+    def tag_end(self, at: int) -> int:
+        """Place of the ``>`` of a tag, outside of quotes; -1 if another ``<`` or the end of the page comes first."""
+        quotes = []
+        while True:
+            at = _UNQUOTED.match(self.page, at).end()
+            char = self.page[at:at + 1]
+            if char == ">":
+                return at
+            close = -1 if char in ("<", "") or at in self.unclosed else self.find(char, at + 1)
+            if char in ('"', "'"):
+                quotes.append(at)
+            if close < 0:
+                self.unclosed.update(quotes)
+                return -1
+            at = close + 1
+
+    def __iter__(self) -> Iterator[tuple[int, int, bool, str, str]]:
+        """(start, end, whether an end tag, name, attributes); the name of anything but a tag is empty."""
+        page, at = self.page, 0
+        while (start := page.find("<", at)) >= 0:
+            if (m := _USUAL.match(page, start)) and (m[1] or m[2].lower() not in _RAW):
+                at = m.end()
+                yield start, at, bool(m[1]), m[2].lower(), m[3]
+                continue
+            at = start + 1
+            m = _START.match(page, start)
+            if not m:
+                continue
+            tag = (m[2] or "").lower()
+            if m[0] == "<!--":
+                end = page.find("-->", m.end())
+                at = end + 3 if end >= 0 else len(page)
+                yield start, at, False, "", ""
+                continue
+            end = self.tag_end(m.end()) if tag else self.find(">", m.end())
+            attributes = page[m.end():end] if tag else ""
+            if end < 0 and tag in _RAW and not m[1]:
+                end = self.find(">", m.end())
+            elif end < 0 and tag:  # quotes that do not close, or the next mark comes first
+                broken = _UNBROKEN.match(page, m.end())
+                end, tag = broken.end() - 1 if broken else self.find(">", m.end()) if m[1] else -1, ""
+            if end < 0:
+                continue
+            at = end + 1
+            if tag in _RAW and not m[1]:
+                close = _RAW[tag].search(page, at)
+                at, tag = close.end() if close else len(page), ""
+            yield start, at, bool(m[1]), tag, attributes
+
+
 def blocks(page: str | None) -> list[Block]:
     """Leaf blocks with text, in page order. Broken markup is read as far as it goes; nothing is cut."""
     out: list[Block] = []
     stack: list[tuple[str, str]] = []
+    places: dict[str, list[int]] = {}  # of the open elements of each name
     parts: list[str] = []
     linked = links = 0
 
@@ -62,36 +130,39 @@ def blocks(page: str | None) -> list[Block]:
         nonlocal parts, linked
         text = _SPACE.sub(" ", unescape("".join(parts))).strip() if parts else ""
         if text:
-            out.append(Block(text, [name for _, name in stack[-_DEPTH:]], linked))
+            out.append(Block(text, [name for _, name in stack[-_NEAR:]], linked))
         parts, linked = [], 0
 
+    def leave(depth: int) -> None:
+        for name, _ in stack[depth:]:
+            places[name].pop()
+        del stack[depth:]
+
     at = 0
     page = page or ""
-    for m in _MARK.finditer(page):
-        if m.start() > at:
-            parts.append(page[at:m.start()])
-            linked += (m.start() - at) * (links > 0)
-        at = m.end()
-        tag = (m[3] or "").lower()
+    for start, end, ends, tag, attributes in _Marks(page):
+        if start > at:
+            parts.append(page[at:start])
+            linked += (start - at) * (links > 0)
+        at = end
         if not tag:
             continue
         if tag in _INLINE:
-            links = max(0, links + (-1 if m[2] else 1)) if tag == "a" else links
+            links = max(0, links + (-1 if ends else 1)) if tag == "a" else links
             if tag == "br":
                 parts.append(" ")
             continue
         close()
         links = 0
-        if m[2]:
-            for n in range(len(stack) - 1, max(-1, len(stack) - 1 - _DEPTH), -1):
-                if stack[n][0] == tag:
-                    del stack[n:]
-                    break
+        if ends:
+            if places.get(tag):
+                leave(places[tag][-1])
             continue
         while stack and tag in _CLOSED_BY.get(stack[-1][0], ()):
-            stack.pop()
+            leave(len(stack) - 1)
         if tag not in _EMPTY:
-            named = " ".join(f"{a.lower()} {v}" for a, v in _NAMES.findall(m[4])) if m[4] else ""
+            named = " ".join(f"{a.lower()} {v}" for a, v in _NAMES.findall(attributes)) if attributes else ""
+            places.setdefault(tag, []).append(len(stack))
             stack.append((tag, f"{tag} {named}".strip()))
     parts.append(page[at:])
     close()
@@ -142,7 +213,7 @@ def block_vectors(own: list[Block]) -> np.ndarray:
     place = np.arange(len(own))
     ratios = (np.log1p(sizes) / 8, np.log1p(counts) / 6, np.minimum(1, [b.linked for b in own] / sizes), np.minimum(1, marks / sizes * 10),
               np.array([b.text[-1] in ".!?:\"" for b in own]), place / len(own), 1 / (1 + place), 1 / (len(own) - place))
-    paths = np.stack([_path_vector(tuple(b.path[:-7:-1])) for b in own])
+    paths = np.stack([_path_vector(tuple(b.path[:-_NEAR - 1:-1])) for b in own])
     return np.concatenate((paths, words, np.stack(ratios, axis=1)), axis=1).astype(np.float32)
 
 
