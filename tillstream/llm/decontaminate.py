@@ -110,7 +110,7 @@ def _bucket(hashes: np.ndarray) -> np.ndarray:
     return (hashes.view(np.uint64) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
 
 
-def benchmark_windows(benchmark: DataFrame) -> DataFrame:
+def benchmark_windows(benchmark: DataFrame, min_tokens: int = 1) -> DataFrame:
     """(item_id, item_pos, hash, width, item_slots); an item shorter than a window is one window of its own width.
 
     Items without a window of enough words have windows with their values, under the negative width.
@@ -122,7 +122,7 @@ def benchmark_windows(benchmark: DataFrame) -> DataFrame:
                 tokens, codes = template(text)
                 short = len(codes) < WINDOW
                 width = len(codes) if short else WINDOW
-                if len(codes):
+                if len(codes) >= max(1, min_tokens):
                     rows += _rows(item, tokens, codes, width, 3 if short else MIN_WORDS) or _rows(item, tokens, codes, -width, 0)
             yield pd.DataFrame(rows, columns=["item_id", "item_pos", "hash", "width", "item_slots"])
 
@@ -152,8 +152,7 @@ def _fitting(aligned: DataFrame) -> DataFrame:
     """(doc_id, item_id, place, changed) of the windows of alignments (doc_id, item_id, windows) that count.
 
     Windows with the item's own values always do. Of the others, those do not in which a name or unit stands for
-    something else than in most windows of the alignment, nor do any if four or more numbers of the item all
-    became one number.
+    something else than in most windows of the alignment.
     """
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
@@ -164,10 +163,7 @@ def _fitting(aligned: DataFrame) -> DataFrame:
                 stands: dict[str, str] = {}
                 for (a, b), _ in sorted(votes.items(), key=lambda v: (-v[1], v[0][0] != v[0][1], v[0])):
                     stands.setdefault(a, b)
-                numbers = {p for _, own in pairs for p in own if p[0][0].isdigit()}
-                mixed_up = len({a for a, _ in numbers}) >= 4 and len({b for _, b in numbers}) == 1
-                fit = [(place, own) for place, own in pairs
-                       if all(a == b for a, b in own) or not mixed_up and all(a[0].isdigit() or stands[a] == b for a, b in own)]
+                fit = [(place, own) for place, own in pairs if all(a == b or a[0].isdigit() or stands[a] == b for a, b in own)]
                 changed = any(a != b for _, own in fit for a, b in own)
                 rows += [(doc, item, place, changed) for place in {p for p, _ in fit}]
             yield pd.DataFrame(rows, columns=["doc_id", "item_id", "place", "changed"])
@@ -175,20 +171,29 @@ def _fitting(aligned: DataFrame) -> DataFrame:
     return aligned.mapInPandas(run, "doc_id long, item_id long, place int, changed boolean")
 
 
-def find_contamination(docs: DataFrame, benchmark: DataFrame, min_coverage: float = MIN_COVERAGE) -> DataFrame:
+def _filter(items: DataFrame) -> np.ndarray:
+    """Which buckets of hashes the items have: bits, put together on the cluster, 64 to a row."""
+    bucket = F.shiftrightunsigned("hash", 64 - FILTER_BITS)
+    words = items.select(bucket.alias("b")).groupBy(F.shiftright("b", 6).alias("word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(b & 63 as int))")).alias("bits")).collect()  # 2**16 rows at most
+    bits = np.zeros(1 << FILTER_BITS - 6, dtype="<i8")
+    bits[[r["word"] for r in words]] = [r["bits"] for r in words]
+    return np.unpackbits(bits.view(np.uint8), bitorder="little").astype(bool)
+
+
+def find_contamination(docs: DataFrame, benchmark: DataFrame, min_coverage: float = MIN_COVERAGE, min_item_tokens: int = 1) -> DataFrame:
     """(doc_id, item_id, n_windows, n_found, coverage, changed_slots): documents that hold a benchmark item.
 
     A document holds an item when at least ``min_coverage`` of the item's windows occur in it with
     fitting slots; slots are compared per alignment, so the same question with two sets of values counts.
-    ``changed_slots`` says that values differ from the item's in every alignment. Every item with a token is looked for.
+    ``changed_slots`` says that values differ from the item's in every alignment. Items with at least ``min_item_tokens`` tokens are looked for; by
+    default every item with a token is, so an item that is one word ("hi") or one number is held by each document with it.
     Null or empty texts hold nothing; rows without doc_id or item_id are left out; rows repeated with one doc_id
     are one document; repeated items are found once each. An empty table on either side gives no rows.
     """
-    items = benchmark_windows(benchmark)
-    buckets = items.select(F.shiftrightunsigned("hash", 64 - FILTER_BITS).alias("b")).distinct().collect()  # 2**22 at most
+    items = benchmark_windows(benchmark, min_item_tokens)
     widths = [r["width"] for r in items.select("width").distinct().collect()]  # sixteen at most
-    keep = np.zeros(1 << FILTER_BITS, dtype=bool)
-    keep[[r["b"] for r in buckets]] = True
+    keep = _filter(items)
     met = document_windows(docs, keep, sorted(widths)).join(items, ["hash", "width"])
     aligned = met.groupBy("doc_id", "item_id", (F.col("doc_pos") - F.col("item_pos")).alias("shift")).agg(
         F.collect_set(F.struct("item_pos", "item_slots", "doc_slots")).alias("windows"))  # as many as the item has windows, for each text of a doc_id
