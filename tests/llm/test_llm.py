@@ -5,6 +5,7 @@ import hashlib
 import itertools
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -102,7 +103,8 @@ def test_decontamination(spark):
     rows = [*AWKWARD, (20, f"x y {item} z"), (21, f"{clean} {other}"), (22, clean), (23, item.lower()), (24, f"{item} {other}"), (20, f"x y {item} z"), (25, mixed)]
     bench = spark.createDataFrame([(1, item), (2, None), (3, ""), (None, item), (4, "hi"), (1, item)], "item_id long, text string")
     got = {(x.doc_id, x.item_id): x for x in decontaminate.find_contamination(docs(spark, rows), bench).collect()}
-    assert {(20, 1), (21, 1), (24, 1)} <= set(got) and not {i for i, _ in got} & {1, 2, 3, 4, 5, 6, 7, 22, 25}
+    assert {(20, 1), (21, 1), (24, 1), (25, 1)} <= set(got) and not {i for i, _ in got} & {1, 2, 3, 4, 5, 6, 7, 22}
+    assert got[25, 1].changed_slots and got[25, 1].coverage == 1
     assert got[20, 1].coverage == 1 and not got[20, 1].changed_slots and got[21, 1].changed_slots
     assert decontaminate.find_contamination(docs(spark, []), bench).count() == 0
     assert decontaminate.find_contamination(docs(spark, rows), bench.limit(0)).count() == 0
@@ -420,3 +422,57 @@ def test_packing_encodes_literals_of_added_tokens_like_the_default():
     texts = ["end of page <|endoftext|> next", "a<|startoftext|>b <|ENDOFTEXT|> c", "<|endoftext|>", "plain Words <|", ""]
     want = [Tokenizer.from_file(path).encode(t, add_special_tokens=False).ids for t in texts]
     assert 49407 in want[0] and [np.frombuffer(x, dtype="<u4").tolist() for x in packing._Encoder(path)(texts)] == want
+
+
+def test_pages_are_read_in_linear_time_at_any_depth():
+    deep = "<article>" + "<i><div><p>x" * 3000 + "</article><nav>after</nav>"
+    own = page_text.blocks(deep)
+    assert len(own) == 3001 and own[-1].text == "after" and own[-1].path == ["nav"] and len(own[100].path) == page_text._NEAR
+    for page in ("<!" * 40_000, "<script " * 40_000, "<a \"'" * 40_000, "<a b=\"" * 40_001, "</p" * 40_000, "<" * 40_000, "<div><p>" * 20_000 + "</div>" * 20_000):
+        start = time.process_time()
+        page_text.blocks(page)
+        assert time.process_time() - start < 3
+    odd = "<p title='a<b>c'>one</p><script>if (a < b) '</p>'</script><title-bar>two</title-bar><!-- <p>no</p> --><div class=\"x>three</div><style>four"
+    assert [b.text for b in page_text.blocks(odd)] == ["one", "two", "three"]
+
+
+def _prose(words: str, n: int, seed: int) -> list[str]:
+    r, own = random.Random(seed), words.split()
+    return [" ".join(r.choice(own) for _ in range(r.choice([22, 26, 40, 55]))) for _ in range(n)]
+
+
+ENGLISH = ("the of and to in that it was his with for on are this have from they which one you were all her she there would their we him been has when who will "
+           "more no if out so said what up about into than them can only other time new some could these two may then do first any my now such like our over")
+GERMAN = ("der die und in den von zu das mit sich des auf für ist im dem nicht ein eine als auch es an werden aus er hat dass sie nach wird bei einer um am sind noch "
+          "wie einem über einen so zum war haben nur oder aber vor zur bis mehr durch man sein wurde sei habe kann wenn unter wir soll ich eines jahr zwei diese wieder")
+STRANGE = ["Wczoraj wieczorem poszliśmy do kina, a potem długo rozmawialiśmy o filmie i naszych planach na przyszłe lato z rodziną",
+           "Dün akşam arkadaşlarımla sinemaya gittik ve sonra film hakkında uzun uzun konuştuk, çok güzel bir geceydi doğrusu hepimiz için",
+           "Вчера вечером мы пошли в кино, а потом долго говорили о фильме и о наших планах на будущее лето с семьёй",
+           "Eilen illalla menimme elokuviin ja sitten puhuimme pitkään elokuvasta ja suunnitelmistamme ensi kesälle perheen kanssa"]
+
+
+def test_texts_in_languages_not_learned_score_below_the_limit_of_their_size(spark):
+    known = [(t, lang) for lang, words in (("en", ENGLISH), ("de", GERMAN)) for t in _prose(words, 400, len(lang + words))]
+    table = spark.createDataFrame([(i, *row) for i, row in enumerate(known)], "doc_id long, text string, lang string")
+    learned = langid.learn_profiles(table)
+    limits = langid.score_limits(langid.predict_language(table, learned))
+    assert sorted(limits) == list(range(32)) and limits[0] == 0 and limits[7] > 0.1
+    more = _prose(ENGLISH, 60, 3) + _prose(GERMAN, 60, 4)
+    rows = [*enumerate(more), *((1000 + i, t) for i, t in enumerate(STRANGE)), (2000, "12 !"), (2001, None), (2002, "")]
+    judged = langid.predict_language(docs(spark, rows), learned)
+    kept = {x.doc_id for x in judged.where(langid.known_language(limits)).collect()}
+    assert kept == set(range(120))
+    none = langid.score_limits(langid.predict_language(table.limit(0), learned))
+    assert set(none.values()) == {0.0}  # nothing labelled: whatever has a letter stays
+    assert judged.where(langid.known_language(none)).count() == 120 + len(STRANGE)
+
+
+def test_filter_of_hashes_and_least_item_length(spark):
+    items = spark.createDataFrame([(h,) for h in (0, 1, -1, 2 ** 63 - 1, -2 ** 63, 0x0123456789ABCDEF, 0x0123456789ABCDEF)], "hash long")
+    got = decontaminate._filter(items)
+    want = {h % 2 ** 64 >> 64 - decontaminate.FILTER_BITS for h in (0, 1, -1, 2 ** 63 - 1, -2 ** 63, 0x0123456789ABCDEF)}
+    assert set(np.flatnonzero(got)) == want and not decontaminate._filter(items.limit(0)).any()
+    bench = spark.createDataFrame([(1, "hi"), (2, "What is 17 * 24 + 9 - 3?")], "item_id long, text string")
+    rows = docs(spark, [(1, "hi there"), (2, "so: what is 17 * 24 + 9 - 3? hm")])
+    assert {(x.doc_id, x.item_id) for x in decontaminate.find_contamination(rows, bench).collect()} == {(1, 1), (2, 2)}
+    assert {(x.doc_id, x.item_id) for x in decontaminate.find_contamination(rows, bench, min_item_tokens=3).collect()} == {(2, 2)}

@@ -13,14 +13,15 @@ from functools import cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tillstream.llm.common import from_texts
 
 DIMENSIONS = 512
 LETTERS = 1024  # code 0 is everything that is no letter; letters beyond 768 share the upper codes
 UNDETERMINED = "und"
-MIN_SCORE = 0.05  # below this cosine a text is like no learned language
+LOW, SHARE = 0.01, 0.25  # a text like no learned language scores below this share of a low quantile of labelled rows
+MIN_ROWS = 100  # labelled rows that give a quantile
 _BLOCK = 2048  # trigrams bound at once
 
 
@@ -108,6 +109,34 @@ def learn_profiles(labelled: DataFrame, dimensions: int = DIMENSIONS) -> Profile
     return Profiles([r["lang"] for r in found], centred.astype(np.float32), common.astype(np.float32))
 
 
+def _size_band(text: str) -> Column:
+    """Texts up to twice as long share a band."""
+    return F.floor(F.log2(F.greatest(F.length(text), F.lit(1)))).cast("int")
+
+
+def score_limits(scored: DataFrame, text: str = "text", low: float = LOW, share: float = SHARE, min_rows: int = MIN_ROWS) -> dict[int, float]:
+    """The least score of a text in one of the learned languages, by size band, from labelled rows.
+
+    ``scored`` are rows of :func:`predict_language` with their own ``lang``. A limit is ``share`` of the ``low`` quantile of the
+    scores of the labelled rows of a band, so it follows what texts of that size reach. A band with fewer than ``min_rows``
+    of them takes the limit of the next shorter band, and 0 if there is none: short texts stay rather than go.
+    """
+    known = scored.where("lang is not null").where(F.col("lang_pred") != UNDETERMINED)
+    rows = known.groupBy(_size_band(text).alias("band")).agg(
+        F.count(F.lit(1)).alias("n"), F.percentile_approx("score", low, 10_000).alias("low")).collect()  # 32 bands at most
+    own = {r["band"]: share * r["low"] for r in rows if r["n"] >= min_rows}
+    limits, last = {}, 0.0
+    for band in range(32):
+        last = limits[band] = own.get(band, last)
+    return limits
+
+
+def known_language(limits: dict[int, float], text: str = "text") -> Column:
+    """Whether a row of :func:`predict_language` is in a learned language."""
+    by_band = F.create_map(*(F.lit(x) for pair in limits.items() for x in pair))
+    return (F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= by_band[_size_band(text)])
+
+
 def predict_language(docs: DataFrame, profiles: Profiles, text: str = "text") -> DataFrame:
     """``docs`` with ``lang_pred`` and ``score`` (cosine with the prototype, 0 to 1), from the whole text alone.
 
