@@ -17,21 +17,29 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Learn profiles from the rows with a lang; rows without a letter or like no learned language go. ``lang`` becomes the prediction."""
-    found = langid.predict_language(docs, langid.learn_profiles(docs))
-    kept = found.where((F.col("lang_pred") != langid.UNDETERMINED) & (F.col("score") >= langid.MIN_SCORE))
-    return kept.withColumn("lang", F.col("lang_pred")).select(docs.columns)
+    """Learn profiles from the rows with a lang; rows without a letter or like no learned language go. ``lang`` becomes the prediction.
+
+    What a text in a learned language scores at least is learned from the rows with a lang, by size of the text.
+    """
+    scores = langid.predict_language(docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), "text", "lang"), langid.learn_profiles(docs))
+    found = stored(scores.drop("text", "lang").select("row", "lang_pred", "score"), "language-scores")
+    limits = langid.score_limits(found.select("row.text", "row.lang", "lang_pred", "score"))
+    kept = found.where(langid.known_language(limits, "row.text"))
+    return kept.select(F.col("row").withField("lang", F.col("lang_pred")).alias("row")).select("row.*").select(docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents the one with the smallest doc_id stays, once. Rows without doc_id stay."""
+    """Of each group of linked documents the one with the smallest doc_id stays. Rows without doc_id stay.
+
+    Of different rows with one doc_id, only one stays, whichever: doc_id is the key of a document.
+    """
     first = jaccard.jaccard_components(docs).where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
     one = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
     return one.unionByName(docs.where("doc_id is null")).select(docs.columns)
 
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark item go."""
+    """Documents that hold a benchmark item go; an item of one word is held by each document with that word."""
     leaks = decontaminate.find_contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     return docs.join(leaks.select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
 
