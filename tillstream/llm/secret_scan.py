@@ -474,7 +474,9 @@ def _known_places(text: str) -> list[tuple[int, int]]:
 
 def _teaches(text: str, known: list[tuple[int, int]]) -> bool:
     """Whether a text may be learned from: what looks like a secret that the fixed patterns do not know teaches nothing."""
-    rest = "".join(" " if any(s <= i < e for s, e in known) else c for i, c in enumerate(text))
+    rest = text
+    for start, end in known:
+        rest = rest[:start] + " " * (end - start) + rest[end:]
     if known:
         rest = _ASSIGN.sub(" ", re.sub(_KEY_WORD.pattern + r"[\w\"' ]*[:=]\s*[\"']?\s", " ", rest, flags=re.I))
     return not (_KEY_WORD.search(rest) or any(_PREFIX.match(m[0]) for m in _TOKEN.finditer(rest)))
