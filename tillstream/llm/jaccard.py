@@ -133,10 +133,9 @@ def signatures(shingles: np.ndarray, sketch: np.ndarray) -> tuple[np.ndarray, np
         costs.append(price)
         counts = np.diff(np.append(starts, len(own)))
         for s, k, t, tag in zip(starts, counts, total, label):
-            for i in range(k if k > 1 else 0):  # subsets without one element
-                rest = np.delete(own_cost[s:s + k], i)
-                found.append(_mix(np.array([(t - own[s + i]) * _MUL[0] + tag])))
-                costs.append(rest.min(keepdims=True))
+            if k > 1:  # subsets without one element
+                found.append(_mix((t - own[s:s + k]) * _MUL[0] + tag))
+                costs.append(np.array([np.delete(own_cost[s:s + k], i).min() for i in range(k)]))
         if np.minimum(counts, 2).sum() <= differing:
             found.append(_mix(own + np.uint64(band) * _MUL[2]))
             costs.append(own_cost)
