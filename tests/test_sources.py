@@ -33,6 +33,16 @@ def test_spool_and_document_round_trips(spark, scratch):
     assert sorted(spool.read_documents(spark, scratch_path, BASKET).collect()) == sorted(df.collect())
 
 
+def test_nulls_zeros_and_empty_texts_of_own_files_stay_apart(spark, scratch):
+    from pyspark.sql import functions as F
+
+    df = baskets_df(spark, basket("a"), basket("b", items=None), basket("c", items=(item(price=0.0), ("id", "", None, "C", None, None, 0.0)))).drop("basketPart")
+    df = df.withColumns({"vat": F.when(F.col("invoiceNumber") == "a", F.lit(0.0)), "clerk": F.when(F.col("invoiceNumber") != "b", F.col("clerk"))})
+    for write, read in ((documents.write_spool, spool.read_spool), (documents.write_documents, spool.read_documents)):
+        write(df, path := scratch("nulls"))
+        assert sorted(map(str, read(spark, path, BASKET, fill_gaps=False).collect())) == sorted(map(str, df.collect()))
+
+
 def test_spool_is_split_over_tasks(spark, scratch):
     df = spark.range(20000).select(F.col("id").cast("string").alias("invoiceNumber"), F.lit(1.0).alias("paid"))
     documents.write_spool(df.coalesce(1), path := scratch("spool"))

@@ -10,7 +10,6 @@ from tillstream.operators.skew import join_on_unique
 from tillstream.schemas import COMPLETED
 
 _SALE_TIME = "_sale_time"
-_SALT = "_salt"
 
 
 def _columns(df: DataFrame, *extra: str) -> DataFrame:
@@ -23,23 +22,6 @@ def _paid_after_sale() -> Column:
     return F.col("created_at") > F.col(_SALE_TIME)
 
 
-def spread(baskets: DataFrame, payments: DataFrame, salts: int) -> tuple[DataFrame, DataFrame]:
-    """Spread the parts of one basket over ``salts`` join keys, repeating its payment for each.
-
-    For streams, where keys cannot be counted up front. One (no repeat) is right unless baskets
-    come in very many parts.
-    """
-    if salts == 1:
-        return baskets, payments
-    every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long")))
-    return (baskets.withColumn(_SALT, F.pmod(F.col("basketPart"), F.lit(salts))),
-            payments.select("*", every.alias(_SALT)))
-
-
-def _join_key(salts: int) -> list[str]:
-    return ["invoiceNumber"] if salts == 1 else ["invoiceNumber", _SALT]
-
-
 def with_sale_time(baskets: DataFrame) -> DataFrame:
     return baskets.withColumn(_SALE_TIME, event_time(F.col("saleTimestamp_Epoc")))
 
@@ -48,17 +30,15 @@ def _with_valid_sale_time(baskets: DataFrame) -> DataFrame:
     return with_sale_time(baskets).where(F.col(_SALE_TIME).isNotNull())
 
 
-def sales_completed(baskets: DataFrame, payments: DataFrame, hot: DataFrame | None = None,
-                    salts: int = 1) -> DataFrame:
+def sales_completed(baskets: DataFrame, payments: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     """Completed sales: basket and payment of one invoice, paid after the sale second.
 
     Batch or streaming (append). Streaming keeps all unmatched rows as state, like the unbounded
     join it stands for; :func:`sales_completed_within` is the form whose state is evicted.
     ``hot`` (batch, one payment per invoice) names invoices with very many basket rows, see
-    ``hot_keys``; ``salts`` is the same for streams, see :func:`spread`.
+    ``hot_keys``.
     """
-    baskets, payments = spread(_with_valid_sale_time(baskets), payments, salts)
-    return _columns(join_on_unique(baskets, payments, _join_key(salts), hot, _paid_after_sale()))
+    return _columns(join_on_unique(_with_valid_sale_time(baskets), payments, "invoiceNumber", hot, _paid_after_sale()))
 
 
 def completed_headers(headers: DataFrame, payments: DataFrame, bound: str | None = None) -> DataFrame:
@@ -80,8 +60,7 @@ def header_changes(headers: DataFrame, changes: DataFrame) -> DataFrame:
 
 
 def sales_completed_within(baskets: DataFrame, payments: DataFrame, bound: str = "1 hour",
-                           watermark: str | None = None, hot: DataFrame | None = None,
-                           salts: int = 1) -> DataFrame:
+                           watermark: str | None = None, hot: DataFrame | None = None) -> DataFrame:
     """Completed sales paid at most ``bound`` after the sale.
 
     With ``watermark`` (the allowed lateness) both streams carry a watermark and the time range
@@ -91,13 +70,11 @@ def sales_completed_within(baskets: DataFrame, payments: DataFrame, bound: str =
     if watermark is not None:
         baskets = baskets.withWatermark(_SALE_TIME, watermark)
         payments = payments.withWatermark("created_at", watermark)
-    baskets, payments = spread(baskets, payments, salts)
     in_time = _paid_after_sale() & (F.col("created_at") <= F.col(_SALE_TIME) + F.expr(f"interval {bound}"))
-    return _columns(join_on_unique(baskets, payments, _join_key(salts), hot, in_time))
+    return _columns(join_on_unique(baskets, payments, "invoiceNumber", hot, in_time))
 
 
-def completed_changes(baskets: DataFrame, changes: DataFrame, hot: DataFrame | None = None,
-                      salts: int = 1) -> DataFrame:
+def completed_changes(baskets: DataFrame, changes: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     """Changelog of completed sales from baskets and the changelog of payments.
 
     Every payment change becomes one change of the completed sale: ``U`` when the changed payment
@@ -105,11 +82,9 @@ def completed_changes(baskets: DataFrame, changes: DataFrame, hot: DataFrame | N
     :func:`live_completed` gives the same table in whatever order and batches the inputs came, and
     the stream needs nothing but an insert-only join.
 
-    ``hot`` is for batches whose changes were reduced to the newest per invoice; ``salts`` is for
-    streams, see :func:`spread`.
+    ``hot`` is for batches whose changes were reduced to the newest per invoice.
     """
-    baskets, changes = spread(with_sale_time(baskets), changes, salts)
-    joined = join_on_unique(baskets, changes, _join_key(salts), hot)
+    joined = join_on_unique(with_sale_time(baskets), changes, "invoiceNumber", hot)
     holds = F.coalesce((F.col("op") != "D") & _paid_after_sale(), F.lit(False))
     return _columns(joined.withColumn("op", F.when(holds, "U").otherwise("D")), "op", "seq")
 

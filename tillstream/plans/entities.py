@@ -18,7 +18,6 @@ from tillstream.session import scratch_dir
 
 LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity"]
 OFFSET_MINUTES = 120
-STREAM_SALTS = 32
 
 
 class Retail:
@@ -53,11 +52,6 @@ class Retail:
         hot = self.hot_orders
         return None if hot is None else hot.select(F.col("l_orderkey").cast("string").alias("invoiceNumber"))
 
-    @property
-    def salts(self) -> int:
-        """Join keys per invoice in streams: more than one only when some baskets come in very many parts."""
-        return 1 if self.hot_orders is None else STREAM_SALTS
-
     def _with_products(self, lines: DataFrame) -> DataFrame:
         products = self.table("part").select(
             "p_partkey", F.col("p_partkey").cast("string").alias("id"), F.col("p_name").alias("name"),

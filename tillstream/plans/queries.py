@@ -275,19 +275,19 @@ def table_unnested(r: Retail) -> DataFrame:
 def json_spool_roundtrip(r: Retail) -> DataFrame:
     path = r.scratch("spool")
     documents.write_spool(r.baskets.select(*BASKET.names), path)
-    return _flat_baskets(spool.read_spool(r.spark, path, BASKET))
+    return _flat_baskets(spool.read_spool(r.spark, path, BASKET, fill_gaps=False))
 
 
 def export_documents(r: Retail) -> DataFrame:
     path = r.scratch("documents")
     documents.write_documents(r.payments.select(*PAYMENT_MESSAGE.names), path)
-    return spool.read_documents(r.spark, path, PAYMENT_MESSAGE)
+    return spool.read_documents(r.spark, path, PAYMENT_MESSAGE, fill_gaps=False)
 
 
 def export_baskets(r: Retail) -> DataFrame:
     path = r.scratch("documents")
     documents.write_documents(r.baskets.select(*BASKET.names), path)
-    return _flat_baskets(spool.read_documents(r.spark, path, BASKET))
+    return _flat_baskets(spool.read_documents(r.spark, path, BASKET, fill_gaps=False))
 
 
 def publish_json(r: Retail) -> DataFrame:
@@ -407,7 +407,7 @@ def upsert_payments(r: Retail) -> DataFrame:
 
 def _upsert_completed(r: Retail) -> KeyedTable:
     table = completed_table(r.spark, r.scratch("salescompleted"))
-    changes = completed_changes(_streamed_baskets(r), _streamed_changes(r), salts=r.salts)
+    changes = completed_changes(_streamed_baskets(r), _streamed_changes(r))
     finish(start_keyed(changes, table, r.scratch("completed-checkpoint"), "upsert_completed",
                        state_partitions=r.state_partitions))
     return table
@@ -501,14 +501,14 @@ def topic_unnested(r: Retail) -> DataFrame:
 
 
 def stream_sales_completed(r: Retail) -> DataFrame:
-    stream = sales_completed(_streamed_baskets(r), _streamed_payments(r), salts=r.salts)
+    stream = sales_completed(_streamed_baskets(r), _streamed_payments(r))
     return _flat_completed(_appended(r, stream, "stream_sales_completed"))
 
 
 def stream_unnested_sales(r: Retail) -> DataFrame:
     """Two streams linked by a catalog table: completed sales, and their items."""
     name = f"{_database(r)}.t_salescompleted"
-    completed = sales_completed(_streamed_baskets(r), _streamed_payments(r), salts=r.salts)
+    completed = sales_completed(_streamed_baskets(r), _streamed_payments(r))
     finish(start_table(completed, name, r.scratch("linked-checkpoint"), "linked_sales_completed",
                        state_partitions=r.state_partitions))
     return _appended(r, unnest_lines(read_table(r.spark, name)), "stream_unnested_sales")
@@ -538,7 +538,7 @@ def stream_sales_completed_1h(r: Retail) -> DataFrame:
             rows.where(F.col("slice") == i).drop("slice").write.mode("append").parquet(inbox)
         stream = sales_completed_within(
             read_files(r.spark, basket_inbox, STREAMED_BASKET), read_files(r.spark, payment_inbox, payment_rows.schema),
-            watermark="1 hour", salts=r.salts)
+            watermark="1 hour")
         finish(start_append(stream, path, checkpoint, "stream_sales_completed_1h",
                             state_partitions=r.state_partitions))
     return _flat_completed(r.spark.read.schema(stream.schema).parquet(path))
@@ -577,7 +577,7 @@ def _summary(df: DataFrame, name: str, amount: str) -> DataFrame:
 
 def pipeline_end_to_end(r: Retail) -> DataFrame:
     """All streams of the flow, summarised per table."""
-    flow = Pipeline.create(r.spark, r.scratch("pipeline"), salts=r.salts,
+    flow = Pipeline.create(r.spark, r.scratch("pipeline"),
                            state_partitions=r.state_partitions)
     flow.run_available(_streamed_baskets(r), _streamed_changes(r))
     flow.completed.compact(0)

@@ -32,19 +32,24 @@ def _filled(column: Column, data_type: T.DataType) -> Column:
     return column
 
 
-def parse_documents(df: DataFrame, schema: T.StructType, column: str = "value") -> DataFrame:
-    """Parse one JSON document per row: fixed schema, older field names accepted, gaps filled."""
+def parse_documents(df: DataFrame, schema: T.StructType, column: str = "value", fill_gaps: bool = True) -> DataFrame:
+    """Parse one JSON document per row: fixed schema, older field names accepted, gaps filled.
+
+    Without ``fill_gaps`` what is not in a document is NULL, as in documents of this package's own writers, which leave out
+    NULL only.
+    """
+    filled = _filled if fill_gaps else lambda column, _: column
     wide, places = _with_aliases(schema)
     # Numbered fields, because an older name may differ from the current one in case only.
     numbered = T.StructType([T.StructField(f"_{i}", f.dataType) for i, f in enumerate(wide.fields)])
     doc = F.from_json(F.col(column), wide).cast(numbered)
     return df.select(doc.alias("_doc")).select(*(
-        _filled(F.coalesce(*(F.col(f"_doc.{place}") for place in places[f.name])), f.dataType).alias(f.name)
+        filled(F.coalesce(*(F.col(f"_doc.{place}") for place in places[f.name])), f.dataType).alias(f.name)
         for f in schema.fields
     ))
 
 
-def read_spool(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_spool(spark: SparkSession, path: str, schema: T.StructType, fill_gaps: bool = True) -> DataFrame:
     """Read a spool: indented documents, each followed by a comma, which is no valid JSON as a whole.
 
     The end of a document is the record separator, so files are split over tasks like any text.
@@ -52,12 +57,12 @@ def read_spool(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
     text = spark.read.option("lineSep", DOCUMENT_END).text(path)
     body = F.regexp_replace("value", r"[\s,]*$", "")
     whole = F.when(F.endswith(body, F.lit("\n}")), body).otherwise(F.concat(body, F.lit("\n}")))
-    return parse_documents(text.where(body != "").select(whole.alias("value")), schema)
+    return parse_documents(text.where(body != "").select(whole.alias("value")), schema, fill_gaps=fill_gaps)
 
 
-def read_documents(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_documents(spark: SparkSession, path: str, schema: T.StructType, fill_gaps: bool = True) -> DataFrame:
     """Read JSON lines (one document per line)."""
-    return parse_documents(spark.read.text(path), schema)
+    return parse_documents(spark.read.text(path), schema, fill_gaps=fill_gaps)
 
 
 def read_seed(spark: SparkSession, path: str, multi_line: bool = True) -> dict[str, DataFrame]:
