@@ -366,6 +366,62 @@ def test_blocks_of_a_group_lose_no_likely_pair(spark, monkeypatch, scratch):
     assert wanted and len(rows) == len(set(rows)) and set(rows) == wanted
 
 
+def test_spanning_pairs_connect_what_all_pairs_connect():
+    import numpy as np
+    from tillstream.llm import jaccard
+
+    def parts(n, edges):
+        label = list(range(n))
+        for a, b in edges:
+            label = [label[a] if x == label[b] else x for x in label]
+        return [label.index(x) for x in label]
+
+    rng = np.random.default_rng(3)
+    for n in (2, 5, 30):
+        root = rng.integers(0, n, 40)
+        edges = rng.integers(0, 40, (60, 2))
+        edges = edges[root[edges[:, 0]] != root[edges[:, 1]]]
+        taken = jaccard._spanning(root[edges[:, 0]], root[edges[:, 1]])
+        assert len(taken) == len(set(taken.tolist())) < n
+        assert parts(n, root[edges[taken]]) == parts(n, root[edges])
+        found = np.column_stack([edges, rng.integers(0, 9, len(edges))])
+        every = {tuple(p) for p in np.sort(edges, axis=1).tolist()}
+        some = jaccard._nearest_pairs(np.arange(40), root, found, 2)
+        assert {tuple(p) for p in some.tolist()} <= every and len(some) <= 2 * (n - 1)
+        assert {tuple(p) for p in jaccard._nearest_pairs(np.arange(40), root, found, None).tolist()} == every
+    assert len(jaccard._spanning(np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64))) == 0
+
+
+def test_chains_of_copies_are_linked_through_members_that_are_not_alike(spark):
+    """Copies that drift: neighbours link, far ones do not, and strays at the edge of the limit stay alone."""
+    import random
+
+    from tillstream.llm import jaccard
+
+    rnd = random.Random(11)
+    texts, words = [], [f"w{i}" for i in range(120)]
+    for step in range(40):
+        texts.append(" ".join(words))
+        at = rnd.randrange(0, 119)
+        words[at] = f"new{step}"
+    for step in range(25):  # not alike enough, but sharing much with the first ones
+        far = [f"w{i}" for i in range(120)]
+        for at in rnd.sample(range(120), 4):
+            far[at] = f"far{step}x{at}"
+        texts.append(" ".join(far))
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    sets = [set(zip(*(t.split()[k:] for k in range(5)))) for t in texts]
+    label = list(range(len(texts)))
+    for a in range(len(texts)):
+        for b in range(a):
+            if 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]):
+                low, high = sorted((label[a], label[b]))
+                label = [low if x == high else x for x in label]
+    assert len(set(label)) > 1
+    found = {r["doc_id"]: r["component_id"] for r in jaccard.jaccard_components(docs).collect()}
+    assert [found[i] for i in range(len(texts))] == label
+
+
 SECRET_LINES = [('DB_PASS="g7$kP!x9@Lq2"', "g7$kP!x9@Lq2"), ("pwd: correct-horse-battery-staple", "correct-horse-battery-staple"),
                 ("bearer QwErTyUiOpAsDfGhJkLzXcVb", "QwErTyUiOpAsDfGhJkLzXcVb"), ("private_key: hunter2", "hunter2"), ("password=Tr0ub4dor&3", "Tr0ub4dor&3")]
 

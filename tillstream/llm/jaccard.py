@@ -9,7 +9,8 @@ filters, on segments). Sets that occupy too few segments index all of them and a
 a segment that may differ by one counts for two; if even that is too little, they index single elements too.
 
 Sets that meet become candidates of the smallest set they meet with and are verified exactly. Groups of linked
-sets are found as connected components; only where candidates failed are other pairs that met verified as well.
+sets are found as connected components; only where candidates failed are other pairs that met verified as well, first
+those that suffice to connect a group, then whatever pairs of sets that are still apart are left.
 Before texts are fetched, a pair is dropped if the parity sketches of its sets differ in more bits than linked sets
 may differ in elements, which proves that they do not link.
 Equal sets are one node, numbered by a 64-bit hash of the set.
@@ -32,6 +33,7 @@ SLICES = 64
 GROUP_ROWS = 1 << 14  # expected rows of one segment subset in one group; commoner ones are dealt over several
 BLOCK = 1024  # members of one segment subset compared by one task with as many others at a time
 MEMBERS = 500  # candidates of one set verified by one task at a time
+FORESTS = (1, 4, None)  # likely pairs verified of groups that are not linked yet: of so many spanning forests, at last all that are left
 
 _MUL = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
 
@@ -242,7 +244,10 @@ def plausible_pairs(pairs: DataFrame, where: DataFrame) -> DataFrame:
 
 
 def _likely_in_group(node: np.ndarray, n: np.ndarray, root: np.ndarray, first: np.ndarray, bits: list[bytes], crossed: bool) -> Iterator[np.ndarray]:
-    """(a, b) of one group whose sizes and parity sketches let them link, of different roots; ``crossed``: one of them in ``first``."""
+    """(i, j, differing bits) of the members of one group whose sizes and parity sketches let them link, of different roots.
+
+    ``crossed``: one of them is in ``first``.
+    """
     lengths = np.array([len(x) for x in bits])
     classes = {k: (at := np.flatnonzero(lengths == k), np.frombuffer(b"".join(bits[i] for i in at), np.uint64).reshape(len(at), -1)) for k in np.unique(lengths)}
     for k, (at, own) in classes.items():
@@ -260,19 +265,62 @@ def _likely_in_group(node: np.ndarray, n: np.ndarray, root: np.ndarray, first: n
                     continue
                 others_ok = others[ok]
                 differ = np.bitwise_count(sketches[ok] ^ sketch).sum(axis=1, dtype=np.int64)
-                found = node[others_ok[7 * differ <= n[others_ok] + n[i]]]
-                if len(found):
-                    yield np.stack([np.minimum(found, node[i]), np.maximum(found, node[i])], axis=1)
-
-
-def likely_within(rows: DataFrame, where: DataFrame) -> DataFrame:
+                near = 7 * differ <= n[others_ok] + n[i]
+                if near.any():
+                    yield np.stack([np.full(near.sum(), i), others_ok[near], differ[near]], axis=1)
+
+
+def _spanning(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Positions of edges between vertices ``a`` and ``b`` that span whatever all edges connect, earlier edges first."""
+    vertices, ends = np.unique(np.concatenate([a, b]), return_inverse=True)
+    a, b = ends[:len(a)], ends[len(a):]
+    part, chosen, live = np.arange(len(vertices)), [], np.arange(len(a))
+    while len(live := live[part[a[live]] != part[b[live]]]):
+        best = np.full(len(vertices), len(a))  # the first edge that leaves each part
+        for end in (a, b):
+            np.minimum.at(best, part[end[live]], live)
+        picked = np.unique(best[best < len(a)])
+        chosen.append(picked)
+        parent = list(range(len(vertices)))
+
+        def top(x: int) -> int:
+            while parent[x] != x:
+                parent[x] = x = parent[parent[x]]
+            return x
+
+        for x, y in zip(part[a[picked]].tolist(), part[b[picked]].tolist()):
+            parent[top(x)] = top(y)
+        part = np.array([top(x) for x in part.tolist()])
+    return np.concatenate(chosen) if chosen else live
+
+
+def _nearest_pairs(node: np.ndarray, root: np.ndarray, found: np.ndarray, forests: int | None) -> np.ndarray:
+    """(a, b) nodes of the likely pairs ``found``: all, or those of so many disjoint forests over the roots, nearest first."""
+    pairs = np.sort(node[found[:, :2]], axis=1)
+    if forests is None or not len(found):
+        return pairs
+    order = np.lexsort((pairs[:, 1], pairs[:, 0], found[:, 2]))
+    out = []
+    for _ in range(forests):
+        taken = _spanning(root[found[order, 0]], root[found[order, 1]])
+        out.append(pairs[order[taken]])
+        order = np.delete(order, taken)
+    return np.concatenate(out)
+
+
+def likely_within(rows: DataFrame, where: DataFrame, forests: int | None = None) -> DataFrame:
     """The (a, b) of sets (nodes) that share a ``sig`` of ``rows`` (sig, node, n, root), have different roots and may link.
 
     The pairs of a group are compared by parity sketch (``where``: node, bits) inside tasks and only those that pass leave
-    them. A group is dealt over blocks; a task holds two blocks at most, whatever the size of the group.
+    them: all, or with ``forests`` so many spanning forests of the roots in a task, which are no more pairs than it has
+    members. Groups of the same members are compared once. A group is dealt over blocks; a task holds two blocks at most,
+    whatever the size of the group.
     """
-    sizes = rows.groupBy("sig").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"), F.min("root").alias("low"), F.max("root").alias("high"))
-    dealt = rows.join(sizes.where("low < high").select("sig", "blocks"), "sig").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    groups = rows.groupBy("sig").agg(F.count(F.lit(1)).alias("members"), F.min("root").alias("low"), F.max("root").alias("high"),
+                                     F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y"))
+    once = groups.where("low < high").groupBy("members", "x", "y").agg(F.min("sig").alias("sig"))
+    once = once.select("sig", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks"))
+    dealt = rows.join(once, "sig").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     dealt = dealt.withColumn("other", every).join(where.select("node", "bits"), "node").select(
         "sig", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "node", "n", "root", "bits")
@@ -281,10 +329,11 @@ def likely_within(rows: DataFrame, where: DataFrame) -> DataFrame:
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         def compare(f: pd.DataFrame, cuts: np.ndarray) -> pd.DataFrame:
             node, n, root, low, high, block = (f[c].to_numpy() for c in ("node", "n", "root", "low", "high", "block"))
-            bits, found = list(f.bits), [np.empty((0, 2), dtype=np.int64)]
+            bits, out = list(f.bits), [np.empty((0, 2), dtype=np.int64)]
             for s, e in zip(cuts[:-1], cuts[1:]):
-                found += _likely_in_group(node[s:e], n[s:e], root[s:e], block[s:e] == low[s], bits[s:e], low[s] != high[s])
-            return pd.DataFrame(np.concatenate(found), columns=["a", "b"])
+                found = [np.empty((0, 3), dtype=np.int64), *_likely_in_group(node[s:e], n[s:e], root[s:e], block[s:e] == low[s], bits[s:e], low[s] != high[s])]
+                out.append(_nearest_pairs(node[s:e], root[s:e], np.concatenate(found), forests))
+            return pd.DataFrame(np.concatenate(out), columns=["a", "b"])
 
         rest = None
         for f in frames:
@@ -385,13 +434,23 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     apart = apart.join(of[0], "a", "left").join(of[1], "b", "left").where(
         F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select(F.col("a").alias("leader"), F.col("b").alias("node"))
     mixed = met.join(apart, ["leader", "node"], "left_semi").select("sig").distinct()
-    rows = met.join(mixed, "sig", "left_semi").select("sig", F.explode(F.array(
-        F.struct("node", "n"), F.struct(F.col("leader").alias("node"), F.col("leader_n").alias("n")))).alias("x")).select("sig", "x.*").distinct()
-    rows = stored(rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "mixed")
-    likely = stored(likely_within(rows, where).join(pairs.drop("possible"), ["a", "b"], "left_anti"), "likely")
-    late = stored(verify_pairs(docs, where, likely), "late_edges")
-    if late.limit(1).count():
-        roots = connected_components(edges.unionByName(late))
+    rows = met.join(mixed, "sig", "left_semi")
+    # All pairs with the only leader of a group have been judged, so it is left out; it stays in groups of several leaders.
+    leaders = rows.groupBy("sig").agg(F.min("leader").alias("first"), F.max("leader").alias("last")).where("first < last").select("sig")
+    leaders = rows.join(leaders, "sig", "left_semi").select("sig", F.col("leader").alias("node"), F.col("leader_n").alias("n"))
+    rows = stored(rows.select("sig", "node", "n").unionByName(leaders).distinct(), "mixed")
+    judged = pairs.drop("possible")
+    for forests in FORESTS:
+        named = rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        within = stored(likely_within(named, where, forests), "likely")
+        if not within.limit(1).count():
+            break
+        likely = stored(within.join(judged, ["a", "b"], "left_anti"), "likely-new")
+        late = stored(verify_pairs(docs, where, likely), "late_edges")
+        judged = judged.unionByName(likely)
+        if late.limit(1).count():
+            edges = edges.unionByName(late)
+            roots = connected_components(edges)
 
     named = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     linked = F.col("n") > 0
