@@ -308,8 +308,13 @@ def _nearest_pairs(node: np.ndarray, root: np.ndarray, found: np.ndarray, forest
     return np.concatenate(out)
 
 
-def likely_within(rows: DataFrame, where: DataFrame, forests: int | None = None) -> DataFrame:
-    """The (a, b) of sets (nodes) that share a ``sig`` of ``rows`` (sig, node, n, root), have different roots and may link.
+def likely_within(rows: DataFrame, where: DataFrame) -> DataFrame:
+    """The (a, b) of sets (nodes) that share a ``sig`` of ``rows`` (sig, node, n, root), have different roots and may link."""
+    return _compared(rows, where, None).select("a", "b").distinct()
+
+
+def _compared(rows: DataFrame, where: DataFrame, forests: int | None) -> DataFrame:
+    """The pairs (a, b) of ``likely_within``, and rows with ``cut`` whose ``a`` is a sig of which pairs were left out.
 
     The pairs of a group are compared by parity sketch (``where``: node, bits) inside tasks and only those that pass leave
     them: all, or with ``forests`` so many spanning forests of the roots in a task, which are no more pairs than it has
@@ -328,12 +333,16 @@ def likely_within(rows: DataFrame, where: DataFrame, forests: int | None = None)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         def compare(f: pd.DataFrame, cuts: np.ndarray) -> pd.DataFrame:
-            node, n, root, low, high, block = (f[c].to_numpy() for c in ("node", "n", "root", "low", "high", "block"))
-            bits, out = list(f.bits), [np.empty((0, 2), dtype=np.int64)]
+            sig, node, n, root, low, high, block = (f[c].to_numpy() for c in ("sig", "node", "n", "root", "low", "high", "block"))
+            bits, out, cut = list(f.bits), [np.empty((0, 2), dtype=np.int64)], []
             for s, e in zip(cuts[:-1], cuts[1:]):
                 found = [np.empty((0, 3), dtype=np.int64), *_likely_in_group(node[s:e], n[s:e], root[s:e], block[s:e] == low[s], bits[s:e], low[s] != high[s])]
-                out.append(_nearest_pairs(node[s:e], root[s:e], np.concatenate(found), forests))
-            return pd.DataFrame(np.concatenate(out), columns=["a", "b"])
+                found = np.concatenate(found)
+                out.append(_nearest_pairs(node[s:e], root[s:e], found, forests))
+                if len(out[-1]) < len(found):
+                    cut.append((sig[s], sig[s]))
+            out = np.concatenate([*out, np.array(cut, dtype=np.int64).reshape(-1, 2)])
+            return pd.DataFrame({"a": out[:, 0], "b": out[:, 1], "cut": np.arange(len(out)) >= len(out) - len(cut)})
 
         rest = None
         for f in frames:
@@ -345,7 +354,7 @@ def likely_within(rows: DataFrame, where: DataFrame, forests: int | None = None)
         if rest is not None:
             yield compare(rest.reset_index(drop=True), np.array([0, len(rest)]))
 
-    return dealt.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(run, "a long, b long").distinct()
+    return dealt.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(run, "a long, b long, cut boolean").distinct()
 
 
 def verify_pairs(docs: DataFrame, where: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -442,15 +451,17 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     judged = pairs.drop("possible")
     for forests in FORESTS:
         named = rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        within = stored(likely_within(named, where, forests), "likely")
-        if not within.limit(1).count():
-            break
-        likely = stored(within.join(judged, ["a", "b"], "left_anti"), "likely-new")
+        within = stored(_compared(named, where, forests), "likely")
+        likely = stored(within.where("not cut").select("a", "b").join(judged, ["a", "b"], "left_anti"), "likely-new")
         late = stored(verify_pairs(docs, where, likely), "late_edges")
         judged = judged.unionByName(likely)
         if late.limit(1).count():
             edges = edges.unionByName(late)
             roots = connected_components(edges)
+        left = within.where("cut").select(F.col("a").alias("sig")).distinct()
+        if not left.limit(1).count():
+            break
+        rows = rows.join(left, "sig", "left_semi")
 
     named = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     linked = F.col("n") > 0
