@@ -137,3 +137,16 @@ def test_tables_are_written_by_name(spark, scratch):
     conf = catalog.lakehouse_conf("lake", "some.Catalog", "s3a://b/", endpoint="http://e")
     assert conf["spark.sql.catalog.lake.warehouse"] == "s3a://b/" and "spark.hadoop.fs.s3a.endpoint" in conf
     spark.sql(f"DROP DATABASE {db} CASCADE")
+
+
+@pytest.mark.parametrize("spooled", [False, True])
+def test_compressed_documents_are_small_and_read_back_whole(spark, scratch, spooled):
+    rows = [basket(f"i{n}", items=[item(f"p{k}", price=k + 0.5) for k in range(n % 5)]) for n in range(200)]
+    baskets = spark.createDataFrame([r[:len(BASKET)] for r in rows], BASKET).coalesce(2)
+    write, read = (documents.write_spool, spool.read_spool) if spooled else (documents.write_documents, spool.read_documents)
+    sizes = {}
+    for compression in ("none", "gzip"):
+        write(baskets, path := scratch(compression), compression=compression)
+        assert sorted(map(str, read(spark, path, BASKET, fill_gaps=False).collect())) == sorted(map(str, baskets.collect()))
+        sizes[compression] = sum(f.stat().st_size for f in Path(path).glob("part-*"))
+    assert sizes["gzip"] * 5 < sizes["none"]
