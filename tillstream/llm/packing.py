@@ -147,7 +147,7 @@ class _Encoder:
         for tokenizer, of in ((self.plain, plain), (self.tokenizer, list(new.difference(plain)))):
             for at in range(0, len(of), JOINED_WORDS):
                 some = of[at:at + JOINED_WORDS]
-                for w, ids in zip(some, self._words(tokenizer, some)):
+                for w, ids in zip(some, self._words(some, tokenizer)):
                     known[w] = ids
                     self.size += len(w) + len(ids) + 200
         out = [b"".join(map(known.__getitem__, ws)) for ws in words]
@@ -155,11 +155,10 @@ class _Encoder:
             out[i] = array("I", self.tokenizer.encode(texts[i], add_special_tokens=False).ids).tobytes()
         return out
 
-    @staticmethod
-    def _words(tokenizer, words: list[bytes]) -> list[bytes]:
+    def _words(self, words: list[bytes], tokenizer=None) -> list[bytes]:
         """Ids of each word. They are encoded in one call, joined by spaces, and told apart by where their tokens begin."""
         texts = [w.decode() for w in words]
-        encoded = tokenizer.encode(" ".join(texts), add_special_tokens=False)
+        encoded = (tokenizer or self.tokenizer).encode(" ".join(texts), add_special_tokens=False)
         starts = np.cumsum([0, *(len(t) + 1 for t in texts)])
         begins = np.fromiter((o[0] for o in encoded.offsets), dtype=np.int64, count=len(encoded.ids))
         ends = 4 * np.searchsorted(begins, starts[1:])
