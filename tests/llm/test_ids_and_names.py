@@ -7,7 +7,7 @@ public_tokenizers = pytest.importorskip("public_tokenizers")
 from pyspark.sql import functions as F  # noqa: E402
 
 import corpus_pipeline  # noqa: E402
-from tillstream.llm import chat, jaccard, langid, packing, page_text, quality, rules, secret_scan, shards  # noqa: E402
+from tillstream.llm import chat, decontaminate, jaccard, langid, packing, page_text, quality, rules, secret_scan, shards  # noqa: E402
 
 LOW, HIGH = 2 ** 53 + 1, 2 ** 53 + 3
 TEXTS = {LOW: "one two three four five six seven", None: None, HIGH: "password = abcd1234efgh and more text here"}
@@ -101,3 +101,22 @@ def test_words_encoded_together_equal_words_alone():
     words = ["héllo", "ß", "İstanbul".lower(), "日本語", "a", "x" * 300, "don't", "12,5", "́e", "😀😀", "​", "#*", "ﬁ"]
     together = encode._words([w.encode() for w in words])
     assert together == [encode._words([w.encode()])[0] for w in words] and encode._words([]) == []
+
+
+def test_a_worker_keeps_what_one_operator_needs():
+    """A worker process outlives a stage: words of `pack` and tables of the leak search must not stay while another stage runs."""
+    decontaminate.template("some Words of 12 texts")
+    words = packing._encoder(TOKENIZER)
+    assert packing._encoder(TOKENIZER) is words and not decontaminate._codes
+    decontaminate._value_code("12")
+    langid._encoder(16)
+    assert not decontaminate._value_code.cache_info().currsize
+    assert packing._encoder(TOKENIZER) is not words
+
+
+def test_pipeline_passes_few_texts_at_once(spark, tmp_path, monkeypatch):
+    spark.createDataFrame([(1, "a", "en", "s", 1)], DOCS).write.parquet(f"{tmp_path}/documents.parquet")
+    name, seen = "spark.sql.execution.arrow.maxRecordsPerBatch", []
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [("seen", lambda s, docs, path: (seen.append(int(s.conf.get(name))), docs)[1])])
+    before = spark.conf.get(name)
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 1 and 0 < seen[0] <= 2000 and spark.conf.get(name) == before

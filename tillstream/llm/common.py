@@ -19,6 +19,24 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_KEPT: dict[tuple, object] = {}
+FORGET: list[Callable[[], None]] = []  # empties the tables that a module keeps
+
+
+def kept(make: Callable, *args):
+    """``make(*args)``, made once per worker process and kept from task to task until another operator keeps its own.
+
+    Spark's worker processes outlive a stage, so what one operator keeps would add to the memory of all operators after it.
+    """
+    key = (make.__module__, make.__qualname__, *args)
+    if key not in _KEPT:
+        _KEPT.clear()
+        for forget in FORGET:
+            forget()
+        _KEPT[key] = make(*args)
+    return _KEPT[key]
+
+
 def from_texts(texts: Column, make: Callable[[], Callable[[list], list[tuple]]], fields: str, rows: int = 256) -> Column:
     """A struct of ``fields`` for each text (or null). ``make()`` gives, once per task, the function from a list of texts to rows.
 

@@ -20,6 +20,8 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
+from tillstream.llm.common import FORGET
+
 WINDOW = 8
 MIN_WORDS = 5  # words of a window that are no placeholders (of a shorter item: at least 3)
 MIN_COVERAGE = 0.4  # of an item's windows, found in a document
@@ -88,6 +90,9 @@ def _value_code(value: str) -> int:
     return max(4, xxhash.xxh3_64_intdigest(value.lower().encode("utf-8", "replace")))
 
 
+FORGET += [_codes.clear, _value_code.cache_clear]
+
+
 def _rows(key, tokens, codes, width, least, keep=None) -> list[tuple]:
     """Windows of a text. A width below zero stands for windows with the values of their slots, however few their words."""
     if exact := width < 0:

@@ -9,13 +9,12 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import cache
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tillstream.llm.common import from_texts
+from tillstream.llm.common import from_texts, kept
 
 DIMENSIONS = 512
 LETTERS = 1024  # code 0 is everything that is no letter; letters beyond 768 share the upper codes
@@ -66,9 +65,8 @@ class Encoder:
         return out / norm if norm else out
 
 
-@cache
 def _encoder(dimensions: int) -> Encoder:
-    return Encoder(dimensions)  # its tables are made once per process
+    return kept(Encoder, dimensions)
 
 
 @dataclass(frozen=True)

@@ -12,14 +12,13 @@ import zlib
 from array import array
 from collections import Counter
 from collections.abc import Iterator
-from functools import cache
 from itertools import chain
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from tillstream.llm.common import number_within
+from tillstream.llm.common import kept, number_within
 
 CAPACITY = 4096
 END = 1
@@ -166,9 +165,8 @@ class _Encoder:
         return [ids[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())]
 
 
-@cache
 def _encoder(path: str) -> _Encoder:
-    return _Encoder(path)  # a worker process keeps its words from task to task
+    return kept(_Encoder, path)  # a worker process keeps its words from task to task
 
 
 def tokenized_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end: int = END,
