@@ -1,5 +1,6 @@
 """Ids beyond 2**53 beside a null, columns with clashing and odd names, and empty tables, in all operators on texts."""
 
+import numpy as np
 import pytest
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
@@ -7,7 +8,7 @@ public_tokenizers = pytest.importorskip("public_tokenizers")
 from pyspark.sql import functions as F  # noqa: E402
 
 import corpus_pipeline  # noqa: E402
-from tillstream.llm import chat, decontaminate, jaccard, langid, packing, page_text, quality, rules, secret_scan, shards  # noqa: E402
+from tillstream.llm import chat, common, decontaminate, jaccard, langid, packing, page_text, quality, rules, secret_scan, shards  # noqa: E402
 
 LOW, HIGH = 2 ** 53 + 1, 2 ** 53 + 3
 TEXTS = {LOW: "one two three four five six seven", None: None, HIGH: "password = abcd1234efgh and more text here"}
@@ -120,3 +121,25 @@ def test_pipeline_passes_few_texts_at_once(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(corpus_pipeline, "STAGES", [("seen", lambda s, docs, path: (seen.append(int(s.conf.get(name))), docs)[1])])
     before = spark.conf.get(name)
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 1 and 0 < seen[0] <= 2000 and spark.conf.get(name) == before
+
+
+def test_words_split_here_equal_words_of_the_tokenizer():
+    """A word is split by us only where that gives what the tokenizer gives, and its parts are shared by other words."""
+    import itertools
+
+    from tokenizers import Tokenizer
+
+    encode, whole = packing._Encoder(TOKENIZER), Tokenizer.from_file(TOKENIZER)
+    parts = ["straße", "été", "don't", "we'll", "a1b22", "c++", "'s", "'tis", "''", "$$$", "~", "x÷y", "µ", "ŉ", "É", "\x01", "\x7f", "é", "²", "0", "日"]
+    words = ["".join(x) for x in itertools.product(parts, parts)]
+    got = encode([*words, " ".join(words)])
+    want = [np.array(whole.encode(w, add_special_tokens=False).ids, dtype="<u4").tobytes() for w in words]
+    assert got == [*want, b"".join(want)]
+    before = len(encode.known)
+    assert encode(["été$$$$ $$$$été"]) and len(encode.known) == before + 3  # two words and one new part
+
+
+def test_tables_of_other_operators_go_before_the_join():
+    words = packing._encoder(TOKENIZER)
+    common.forget_kept()
+    assert not common._KEPT and packing._encoder(TOKENIZER) is not words
