@@ -392,6 +392,47 @@ def test_spanning_pairs_connect_what_all_pairs_connect():
     assert len(jaccard._spanning(np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64))) == 0
 
 
+def test_links_contracted_in_chunks_give_the_components(spark, monkeypatch):
+    import numpy as np
+    from tillstream.llm import jaccard
+    from tillstream.llm.common import stored
+
+    rng = np.random.default_rng(7)
+    edges = [(int(a), int(b)) for a, b in rng.integers(0, 90, (70, 2)) if a != b] + [(100 + i, 101 + i) for i in range(30)]
+    label = {x: x for e in edges for x in e}
+    for a, b in edges:
+        low, high = sorted((label[a], label[b]))
+        label = {x: low if r == high else r for x, r in label.items()}
+    links = stored(spark.createDataFrame(edges, "a long, b long").repartition(3), "links")
+    for chunk in (1 << 17, 8):
+        monkeypatch.setattr(jaccard, "EDGES", chunk)
+        found = [tuple(r) for r in jaccard.connected_components(links).collect()]
+        assert len(found) == len(label) and dict(found) == label
+
+
+def test_only_wanted_texts_are_moved(spark, monkeypatch):
+    from tillstream.llm import jaccard
+
+    docs = spark.createDataFrame([(i, f"text {i}") for i in (*range(-500, 500), 2 ** 62, None)], "doc_id long, text string")
+    wanted = spark.createDataFrame([(i,) for i in (-500, -7, 3, 499, 2 ** 62, 12345)], "doc_id long")
+    found = {r.doc_id for r in jaccard._holders(docs, wanted).collect()}
+    assert {-500, -7, 3, 499, 2 ** 62} <= found and len(found) < 50 and None not in found
+    texts = [" ".join(f"w{i + j}" for j in range(40)) for i in (0, 1, 500, 0)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    monkeypatch.setattr(jaccard, "FEW", 0)
+    assert [r.component_id for r in jaccard.jaccard_components(rows).orderBy("doc_id").collect()] == [0, 0, 2, 0]
+
+
+def test_groups_of_the_same_members_stay_once(spark):
+    from tillstream.llm import jaccard
+
+    rows = [(sig, 0, 1, node, 5) for sig in (11, 12, 13) for node in (1, 2)] + [(14, 0, 1, node, 5) for node in (1, 2, 3)] + [(15, 0, 1, 9, 5)]
+    rows += [(20, node % 2, 2, node, 5) for node in (1, 2, 4)]  # dealt over two groups, whose leaders meet
+    met = jaccard._met(spark.createDataFrame(rows, "sig long, salt int, salts int, node long, n int"))
+    assert sorted((r.sig, r.node, r.leader) for r in met.collect()) == [
+        (11, 1, 1), (11, 2, 1), (14, 1, 1), (14, 2, 1), (14, 3, 1), (20, 1, 1), (20, 2, 1), (20, 2, 2), (20, 4, 2)]
+
+
 def test_chains_of_copies_are_linked_through_members_that_are_not_alike(spark):
     """Copies that drift: neighbours link, far ones do not, and strays at the edge of the limit stay alone."""
     import random

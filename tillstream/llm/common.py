@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tillstream.session import scratch_dir
@@ -23,6 +25,17 @@ _KEPT: dict[tuple, object] = {}
 FORGET: list[Callable[[], None]] = []  # empties the tables that a module keeps
 
 
+def forget_kept() -> None:
+    """Empty what this worker process keeps, and give the memory back: a task that keeps nothing calls it before it starts."""
+    _KEPT.clear()
+    for forget in FORGET:
+        forget()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # freed memory stays with the process otherwise
+    if trim:
+        trim(0)
+
+
 def kept(make: Callable, *args):
     """``make(*args)``, made once per worker process and kept from task to task until another operator keeps its own.
 
@@ -30,9 +43,7 @@ def kept(make: Callable, *args):
     """
     key = (make.__module__, make.__qualname__, *args)
     if key not in _KEPT:
-        _KEPT.clear()
-        for forget in FORGET:
-            forget()
+        forget_kept()
         _KEPT[key] = make(*args)
     return _KEPT[key]
 

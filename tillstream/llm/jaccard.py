@@ -25,7 +25,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tillstream.llm.common import stored
+from tillstream.llm.common import forget_kept, stored
 
 SHINGLE = 5
 SKETCH_BITS = 19  # counters of the commonness sketch: its size is fixed, whatever the corpus
@@ -33,7 +33,10 @@ SLICES = 64
 GROUP_ROWS = 1 << 14  # expected rows of one segment subset in one group; commoner ones are dealt over several
 BLOCK = 1024  # members of one segment subset compared by one task with as many others at a time
 MEMBERS = 500  # candidates of one set verified by one task at a time
-FORESTS = (1, 4, None)  # likely pairs verified of groups that are not linked yet: of so many spanning forests, at last all that are left
+FORESTS = (2, None)  # likely pairs verified of groups that are not linked yet: of so many spanning forests, at last all that are left
+FILTER_BITS = 23  # of the filter that says which texts may be wanted: its size is fixed, whatever the corpus
+FEW = 1 << 11  # wanted texts; for so few Spark sends their list to all texts by itself
+EDGES = 1 << 17  # links contracted by one task at a time
 
 _MUL = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
 
@@ -147,6 +150,7 @@ def signatures(shingles: np.ndarray, sketch: np.ndarray) -> tuple[np.ndarray, np
 def _scan_sets(docs: DataFrame) -> DataFrame:
     """One pass over all texts: (doc_id, n, node, bits) for each row, and the task's sketch of element counts in slices."""
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        forget_kept()  # in a pipeline, workers come from other operators
         sketch, seen = np.zeros(1 << SKETCH_BITS, dtype=np.int64), set()
         for f in frames:
             sets = [shingle_set(t) for t in f.text]
@@ -190,6 +194,7 @@ def _index(docs: DataFrame, sketch: np.ndarray) -> DataFrame:
     usual = int(GROUP_ROWS).bit_length() - 1
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        forget_kept()
         seen: set[int] = set()
         for f in frames:
             for at in range(0, len(f), 200):
@@ -214,18 +219,22 @@ def _index(docs: DataFrame, sketch: np.ndarray) -> DataFrame:
 def _met(index: DataFrame) -> DataFrame:
     """(sig, node, n, leader, leader_n): sets that share an indexed subset, with the smallest node of their group.
 
-    Subsets that are common in the corpus have their sets dealt over several groups, whose leaders meet in turn.
+    Groups of the same members stay once. Subsets that are common in the corpus have their sets dealt over several groups,
+    whose leaders meet in turn; these groups all stay.
     """
     def groups(rows: DataFrame, keys: list[str]) -> DataFrame:
         whole = Window.partitionBy(*keys)
-        return rows.withColumns({"_first": F.min(F.struct("node", "n")).over(whole), "_last": F.max("node").over(whole)})
+        met = rows.withColumns({"_first": F.min(F.struct("node", "n")).over(whole), "last": F.max("node").over(whole)})
+        met = met.select("*", F.col("_first.node").alias("leader"), F.col("_first.n").alias("leader_n")).drop("_first")
+        return met.where("leader < last or salts > 1").withColumn("x", F.bit_xor(F.xxhash64("node")).over(whole))
 
-    def pairs(rows: DataFrame) -> DataFrame:
-        return rows.where("_first.node < _last").select("sig", "node", "n", F.col("_first.node").alias("leader"), F.col("_first.n").alias("leader_n"))
-
-    inner = stored(groups(index, ["sig", "salt"]).where("_first.node < _last or salts > 1"), "groups")
-    leaders = inner.where("salts > 1").select("sig", "_first.*").distinct()
-    return pairs(inner).unionByName(pairs(groups(leaders, ["sig"])))
+    inner = stored(groups(index, ["sig", "salt"]).drop("salt"), "groups")
+    same = ["leader", "last", "x", "node"]  # two members are told by the first two
+    once = inner.where("salts = 1").groupBy(*same).agg(*(F.min(c).alias(c) for c in ("sig", "n", "leader_n")))
+    common = inner.where("salts > 1")
+    leaders = common.select("sig", F.col("leader").alias("node"), F.col("leader_n").alias("n"), F.lit(1).alias("salts")).distinct()
+    out = ["sig", "node", "n", "leader", "leader_n"]
+    return stored(once.select(out).unionByName(common.where("leader < last").select(out)).unionByName(groups(leaders, ["sig"]).select(out)), "met")
 
 
 def _compatible(a: str, b: str):
@@ -233,14 +242,15 @@ def _compatible(a: str, b: str):
 
 
 def plausible_pairs(pairs: DataFrame, where: DataFrame) -> DataFrame:
-    """The (a, b) of ``pairs`` (nodes) that may link by their parity sketches in ``where`` (node, n, bits)."""
+    """The (a, b, doc_a, doc_b) of ``pairs`` (a, b: nodes) that may link by their parity sketches in ``where`` (node, doc_id, n, bits)."""
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             differ = [differing_bits(a, b) for a, b in zip(f.bits_a, f.bits_b)]
-            yield f.loc[7 * np.array(differ, dtype=np.int64) <= f.n_a + f.n_b, ["a", "b"]]
+            yield f.loc[7 * np.array(differ, dtype=np.int64) <= f.n_a + f.n_b, ["a", "b", "doc_a", "doc_b"]]
 
-    of = [where.select(F.col("node").alias(c), F.col("n").alias(f"n_{c}"), F.col("bits").alias(f"bits_{c}")) for c in "ab"]
-    return pairs.join(of[0], "a").join(of[1], "b").select("a", "b", "n_a", "n_b", "bits_a", "bits_b").mapInPandas(run, "a long, b long")
+    of = [where.select(F.col("node").alias(c), F.col("doc_id").alias(f"doc_{c}"), F.col("n").alias(f"n_{c}"), F.col("bits").alias(f"bits_{c}")) for c in "ab"]
+    return pairs.join(of[0], "a").join(of[1], "b").select("a", "b", "doc_a", "doc_b", "n_a", "n_b", "bits_a", "bits_b").mapInPandas(
+        run, "a long, b long, doc_a long, doc_b long")
 
 
 def _likely_in_group(node: np.ndarray, n: np.ndarray, root: np.ndarray, first: np.ndarray, bits: list[bytes], crossed: bool) -> Iterator[np.ndarray]:
@@ -310,39 +320,37 @@ def _nearest_pairs(node: np.ndarray, root: np.ndarray, found: np.ndarray, forest
 
 def likely_within(rows: DataFrame, where: DataFrame) -> DataFrame:
     """The (a, b) of sets (nodes) that share a ``sig`` of ``rows`` (sig, node, n, root), have different roots and may link."""
-    return _compared(rows, where, None).select("a", "b").distinct()
+    return _compared(rows, where.withColumn("doc_id", F.lit(0)), None).select("a", "b").distinct()
 
 
 def _compared(rows: DataFrame, where: DataFrame, forests: int | None) -> DataFrame:
-    """The pairs (a, b) of ``likely_within``, and rows with ``cut`` whose ``a`` is a sig of which pairs were left out.
+    """The pairs (a, b, doc_a, doc_b) of ``likely_within``, and rows with ``cut`` whose ``a`` is a sig of which pairs were left out.
 
-    The pairs of a group are compared by parity sketch (``where``: node, bits) inside tasks and only those that pass leave
-    them: all, or with ``forests`` so many spanning forests of the roots in a task, which are no more pairs than it has
-    members. Groups of the same members are compared once. A group is dealt over blocks; a task holds two blocks at most,
-    whatever the size of the group.
+    The pairs of a group are compared by parity sketch (``where``: node, doc_id, bits) inside tasks and only those that pass
+    leave them: all, or with ``forests`` so many spanning forests of the roots in a task, which are no more pairs than so many
+    times its members. A group is dealt over blocks; a task holds two blocks at most, whatever the size of the group.
     """
-    groups = rows.groupBy("sig").agg(F.count(F.lit(1)).alias("members"), F.min("root").alias("low"), F.max("root").alias("high"),
-                                     F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y"))
-    once = groups.where("low < high").groupBy("members", "x", "y").agg(F.min("sig").alias("sig"))
-    once = once.select("sig", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks"))
-    dealt = rows.join(once, "sig").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    groups = rows.groupBy("sig").agg(F.count(F.lit(1)).alias("members"), F.min("root").alias("low"), F.max("root").alias("high"))
+    groups = groups.where("low < high").select("sig", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks"))
+    dealt = rows.join(groups, "sig").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    dealt = dealt.withColumn("other", every).join(where.select("node", "bits"), "node").select(
-        "sig", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "node", "n", "root", "bits")
+    dealt = dealt.withColumn("other", every).join(where.select("node", "doc_id", "bits"), "node").select(
+        "sig", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "node", "doc_id", "n", "root", "bits")
     keys = ["sig", "low", "high"]
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         def compare(f: pd.DataFrame, cuts: np.ndarray) -> pd.DataFrame:
-            sig, node, n, root, low, high, block = (f[c].to_numpy() for c in ("sig", "node", "n", "root", "low", "high", "block"))
-            bits, out, cut = list(f.bits), [np.empty((0, 2), dtype=np.int64)], []
+            sig, node, doc, n, root, low, high, block = (f[c].to_numpy() for c in ("sig", "node", "doc_id", "n", "root", "low", "high", "block"))
+            bits, out, cut = list(f.bits), [np.empty((0, 4), dtype=np.int64)], []
             for s, e in zip(cuts[:-1], cuts[1:]):
                 found = [np.empty((0, 3), dtype=np.int64), *_likely_in_group(node[s:e], n[s:e], root[s:e], block[s:e] == low[s], bits[s:e], low[s] != high[s])]
                 found = np.concatenate(found)
-                out.append(_nearest_pairs(node[s:e], root[s:e], found, forests))
-                if len(out[-1]) < len(found):
-                    cut.append((sig[s], sig[s]))
-            out = np.concatenate([*out, np.array(cut, dtype=np.int64).reshape(-1, 2)])
-            return pd.DataFrame({"a": out[:, 0], "b": out[:, 1], "cut": np.arange(len(out)) >= len(out) - len(cut)})
+                pairs, order = _nearest_pairs(node[s:e], root[s:e], found, forests), np.argsort(node[s:e])
+                out.append(np.column_stack([pairs, doc[s:e][order][np.searchsorted(node[s:e][order], pairs)]]))
+                if len(pairs) < len(found):
+                    cut.append((sig[s], sig[s], 0, 0))
+            out = np.concatenate([*out, np.array(cut, dtype=np.int64).reshape(-1, 4)])
+            return pd.DataFrame(out, columns=["a", "b", "doc_a", "doc_b"]).assign(cut=np.arange(len(out)) >= len(out) - len(cut))
 
         rest = None
         for f in frames:
@@ -354,31 +362,54 @@ def _compared(rows: DataFrame, where: DataFrame, forests: int | None) -> DataFra
         if rest is not None:
             yield compare(rest.reset_index(drop=True), np.array([0, len(rest)]))
 
-    return dealt.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(run, "a long, b long, cut boolean").distinct()
+    return dealt.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(run, "a long, b long, doc_a long, doc_b long, cut boolean").distinct()
+
+
+def _holders(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that may have a doc_id of ``wanted``: all that have one, and few others.
+
+    A filter of fixed size, so that texts that nobody asks for are left where they lie.
+    """
+    at = F.pmod(F.xxhash64("doc_id"), F.lit(1 << FILTER_BITS))
+    words = wanted.select(at.alias("at")).groupBy(F.shiftright("at", 5).alias("word")).agg(
+        F.expr("bit_or(shiftleft(1L, cast(at & 31 as int))) as bits"))
+    marks = np.zeros((1 << FILTER_BITS) // 32, dtype=np.int64)
+    for r in words.collect():  # as many rows at most, whatever the corpus
+        marks[r["word"]] = r["bits"]
+
+    @F.pandas_udf("boolean")
+    def marked(at: pd.Series) -> pd.Series:
+        at = at.to_numpy()
+        return pd.Series((marks[at >> 5] >> (at & 31)) & 1 == 1)
 
+    return docs.where("doc_id is not null").where(marked(at))
 
-def verify_pairs(docs: DataFrame, where: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The (a, b) of ``pairs`` (nodes) whose sets have a Jaccard similarity of at least 3/4, by their texts.
 
-    ``where`` says which document holds a node: (node, doc_id). A set with many partners is compared in parts, each
-    of which streams the partners past it.
+def verify_pairs(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The (a, b) of ``pairs`` (nodes a, b in documents doc_a, doc_b) whose sets have a Jaccard similarity of at least 3/4, by their texts.
+
+    A set with many partners is compared in parts, each of which streams the partners past it.
     """
     parts = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / MEMBERS).cast("int").alias("parts"))
-    dealt = pairs.join(parts, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("parts")).alias("part"))
-    wanted = dealt.select("a", "part", F.col("b").alias("node")).unionByName(
-        dealt.select("a", "part", F.col("a").alias("node")).distinct())
-    wanted = stored(wanted.join(where.select("node", "doc_id"), "node"), "wanted")  # stored: its size is known when texts are fetched
-    rows = wanted.join(docs.select("doc_id", "text"), "doc_id").select(
+    part = F.pmod(F.xxhash64("b"), F.col("parts")).alias("part")
+    ends = F.explode(F.array(*(F.struct(F.col(x).alias("node"), F.col(f"doc_{x}").alias("doc_id")) for x in "ba"))).alias("end")
+    wanted = pairs.join(parts, "a").select("a", part, ends).select("a", "part", "end.*").distinct()
+    wanted = stored(wanted, "wanted")  # stored: its size is known when texts are fetched
+    texts = docs.select("doc_id", "text")
+    rows = wanted.join(_holders(texts, wanted) if wanted.count() > FEW else texts, "doc_id").select(
         "a", "part", "node", (F.col("node") != F.col("a")).alias("partner"), "text")
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        first, own = None, None
+        first, own, last = None, None, None
         for f in frames:
             found = []
             for a, node, partner, text in zip(f.a, f.node, f.partner, f.text):
+                if (a, node) == last:  # another row with the same text
+                    continue
                 shingles = shingle_set(text)
                 if set_number(shingles) != node:  # another row with this doc_id
                     continue
+                last = a, node
                 if not partner:
                     first, own = a, shingles
                 elif first == a:
@@ -388,15 +419,44 @@ def verify_pairs(docs: DataFrame, where: DataFrame, pairs: DataFrame) -> DataFra
             yield pd.DataFrame(found, columns=["a", "b"])
 
     ordered = rows.repartition("a", "part").sortWithinPartitions("a", "part", "partner", "node")
-    return ordered.mapInPandas(run, "a long, b long").distinct()
+    return ordered.mapInPandas(run, "a long, b long")
+
+
+def _contracted(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Links (a, b) as links of each node to the smallest one that it reaches, ``EDGES`` links at a time."""
+    def stars(links: list[pd.DataFrame]) -> pd.DataFrame:
+        parent: dict[int, int] = {}
+
+        def top(x: int) -> int:
+            while (up := parent.setdefault(x, x)) != x:
+                parent[x] = x = parent[up]
+            return x
+
+        for f in links:
+            for a, b in zip(f.a.tolist(), f.b.tolist()):
+                a, b = top(a), top(b)
+                parent[max(a, b)] = min(a, b)
+        found = [(x, top(x)) for x in parent]
+        return pd.DataFrame([x for x in found if x[0] != x[1]], columns=["a", "b"])
+
+    links, rows = [], 0
+    for f in frames:
+        links.append(f)
+        rows += len(f)
+        if rows >= EDGES:
+            yield stars(links)
+            links, rows = [], 0
+    if links:
+        yield stars(links)
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
-    """(node, root) for every node of ``edges`` (a, b), root being the smallest node reachable.
+    """(node, root) for every node of the stored ``edges`` (a, b), root being the smallest node reachable.
 
-    Alternates large-star and small-star steps until nothing changes; only a row count and a checksum reach the driver.
+    Tasks contract the links they hold, ``EDGES`` at a time; then large-star and small-star steps alternate until every node
+    has one root that has none itself. Only row counts reach the driver.
     """
-    def stars(links: DataFrame, large: bool) -> DataFrame:
+    def steps(links: DataFrame, large: bool) -> DataFrame:
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         seen = both if large else both.where("b < a")
         least = seen.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
@@ -405,16 +465,15 @@ def connected_components(edges: DataFrame) -> DataFrame:
         out = out if large else out.unionByName(least.select("a", F.col("m").alias("b")))
         return out.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
-    def checksum(links: DataFrame) -> tuple:
-        return tuple(links.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b"))).first())
+    def open_nodes(links: DataFrame) -> DataFrame:
+        ends = links.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
+            links.select(F.col("b").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")).distinct())
+        return ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up > 1 or up = 1 and down = 1")
 
-    links, before = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), None
-    while True:
-        links = stored(stars(stars(links, True), False), "components")
-        now = checksum(links)
-        if now == before:
-            break
-        before = now
+    chunks = -(-edges.count() // EDGES)
+    links = stored(edges.select("a", "b").coalesce(max(1, chunks)).mapInPandas(_contracted, "a long, b long"), "components")
+    while chunks > 1 and open_nodes(links).limit(1).count():
+        links = stored(steps(steps(links.distinct(), True), False), "components")
     return links.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(
         links.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
 
@@ -432,28 +491,18 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     where = stored(scanned.where("slice is null and n > 0 and doc_id is not null").groupBy("node").agg(
         F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("bits").alias("bits")), "nodes")
     met = _met(_index(docs, _sketch(scanned)))
-    pairs = met.where("leader != node").select(F.col("leader").alias("a"), F.col("node").alias("b"), _compatible("leader_n", "n").alias("possible"))
-    pairs = stored(pairs.distinct(), "pairs")
-    edges = stored(verify_pairs(docs, where, plausible_pairs(pairs.where("possible").drop("possible"), where)), "edges")
+    pairs = met.where("leader != node").where(_compatible("leader_n", "n")).select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
+    judged = stored(plausible_pairs(pairs, where), "plausible")
+    edges = stored(verify_pairs(docs, judged), "edges")
     roots = connected_components(edges)
 
-    # Members that did not link with their leader, directly or through others: there, all that met are compared.
-    apart = pairs.drop("possible").join(edges, ["a", "b"], "left_anti")
-    of = [roots.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}")) for c in "ab"]
-    apart = apart.join(of[0], "a", "left").join(of[1], "b", "left").where(
-        F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select(F.col("a").alias("leader"), F.col("b").alias("node"))
-    mixed = met.join(apart, ["leader", "node"], "left_semi").select("sig").distinct()
-    rows = met.join(mixed, "sig", "left_semi")
-    # All pairs with the only leader of a group have been judged, so it is left out; it stays in groups of several leaders.
-    leaders = rows.groupBy("sig").agg(F.min("leader").alias("first"), F.max("leader").alias("last")).where("first < last").select("sig")
-    leaders = rows.join(leaders, "sig", "left_semi").select("sig", F.col("leader").alias("node"), F.col("leader_n").alias("n"))
-    rows = stored(rows.select("sig", "node", "n").unionByName(leaders).distinct(), "mixed")
-    judged = pairs.drop("possible")
+    # Groups whose members did not all link with their leader, directly or through others: there, all that met are compared.
+    rows = met.select("sig", "node", "n")
     for forests in FORESTS:
         named = rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
         within = stored(_compared(named, where, forests), "likely")
-        likely = stored(within.where("not cut").select("a", "b").join(judged, ["a", "b"], "left_anti"), "likely-new")
-        late = stored(verify_pairs(docs, where, likely), "late_edges")
+        likely = stored(within.where("not cut").drop("cut").join(judged, ["a", "b"], "left_anti"), "likely-new")
+        late = stored(verify_pairs(docs, likely), "late_edges")
         judged = judged.unionByName(likely)
         if late.limit(1).count():
             edges = edges.unionByName(late)
