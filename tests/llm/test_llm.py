@@ -433,6 +433,47 @@ def test_groups_of_the_same_members_stay_once(spark):
         (11, 1, 1), (11, 2, 1), (14, 1, 1), (14, 2, 1), (14, 3, 1), (20, 1, 1), (20, 2, 1), (20, 2, 2), (20, 4, 2)]
 
 
+@pytest.mark.parametrize("group_rows", [1 << 14, 4])
+def test_the_index_is_dealt_in_few_rows_and_loses_no_group(spark, monkeypatch, group_rows):
+    """Its size must not depend on how many partitions there are, as it does with a row for each entry."""
+    monkeypatch.setattr(jaccard, "GROUP_ROWS", group_rows)  # with 4, common subsets are dealt over many groups
+    monkeypatch.setattr(jaccard, "PACKED", 5000)
+    monkeypatch.setattr(jaccard, "PARTS", 16)
+    r = random.Random(9)
+    base = words(r, 150)
+    texts = [words(r, r.choice([3, 60, 200])) for _ in range(30)] + [edited(r, base, 0.005) for _ in range(40)] + [base, base.upper(), base]
+    given = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    sketch = jaccard._sketch(jaccard._scan_sets(given))
+    entries, sizes = {}, {}
+    for t in texts:
+        shingles = jaccard.shingle_set(t)
+        node = jaccard.set_number(shingles)
+        sizes[node] = len(shingles)
+        for sig, cost in zip(*jaccard.signatures(shingles, sketch)):
+            salts = 1 << max(int(cost) - (group_rows.bit_length() - 1), 0)
+            entries.setdefault((int(sig) >> 16, node % salts, salts), set()).add(node)
+    index = jaccard._index(given, sketch)
+    assert index.count() < sum(map(len, entries.values())) / 10
+    got = {}
+    for x in jaccard._shared(index).collect():
+        assert x.n == sizes[x.node]
+        members = got.setdefault((x.sig, x.salt, x.salts), set())
+        assert x.node not in members  # equal sets of several tasks are one
+        members.add(x.node)
+    assert all(entries[k] == v for k, v in got.items())
+    assert {k for k in got if k[2] > 1} == {k for k in entries if k[2] > 1}
+    assert {frozenset(v) for k, v in got.items() if k[2] == 1} == {frozenset(v) for k, v in entries.items() if k[2] == 1 and len(v) > 1}
+    assert any(k[2] > 1 for k in got) == (group_rows == 4)
+
+
+def test_only_sketches_of_sets_that_met_are_moved(spark):
+    sets = spark.createDataFrame([(i * 7919, i) for i in range(-500, 500)], "node long, doc_id long")
+    met = spark.createDataFrame([(i * 7919,) for i in (-500, 3, 499)], "node long")
+    found = {x.doc_id for x in jaccard._holders(sets, met, "node").collect()}
+    assert {-500, 3, 499} <= found and len(found) < 50
+    assert jaccard._holders(sets, met.limit(0), "node").count() == 0
+
+
 def test_chains_of_copies_are_linked_through_members_that_are_not_alike(spark):
     """Copies that drift: neighbours link, far ones do not, and strays at the edge of the limit stay alone."""
     import random

@@ -30,6 +30,8 @@ from tillstream.llm.common import forget_kept, stored
 SHINGLE = 5
 SKETCH_BITS = 19  # counters of the commonness sketch: its size is fixed, whatever the corpus
 SLICES = 64
+PACKED = 1 << 20  # entries of the index packed by one task at a time
+PARTS = 1 << 10  # ranges of signatures that the index is dealt by, at least
 GROUP_ROWS = 1 << 14  # expected rows of one segment subset in one group; commoner ones are dealt over several
 BLOCK = 1024  # members of one segment subset compared by one task with as many others at a time
 MEMBERS = 500  # candidates of one set verified by one task at a time
@@ -189,37 +191,111 @@ def _sketch(scanned: DataFrame) -> np.ndarray:
     return out.ravel()
 
 
+def _planes(values: np.ndarray, width: int) -> bytes:
+    """The low ``width`` bytes of numbers, all lowest bytes first: of sorted or small ones the high bytes compress to nothing."""
+    return values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
+
+
+def _numbers(planes: pd.Series, width: int) -> np.ndarray:
+    """The numbers of several ``_planes``, one after the other."""
+    out = []
+    for raw in planes:
+        wide = np.zeros((len(raw) // width, 8), dtype=np.uint8)
+        wide[:, :width] = np.frombuffer(raw, np.uint8).reshape(width, -1).T
+        out.append(wide.view("<i8").ravel())
+    return np.concatenate(out)
+
+
+def _packed(sig: np.ndarray, salts: np.ndarray, node: np.ndarray, n: np.ndarray, parts: int) -> pd.DataFrame:
+    """Entries of the index (sig of 48 bits) as one row per range of signatures: (part, salts, sig, node, n), sorted by sig.
+
+    A row of a shuffle for each entry would hold little but its headers, and the less compressible the more partitions there are.
+    Entries of a subset that is dealt over several groups go to the ranges of these groups.
+    """
+    salt = (node % salts).view(np.uint64)
+    place = np.where(salts > 1, _mix(sig.view(np.uint64) + salt * _MUL[0]) >> np.uint64(16), sig.view(np.uint64))
+    part = (place >> np.uint64(16)) * np.uint64(parts) >> np.uint64(32)
+    order = np.argsort(sig) if (salts == 1).all() else np.lexsort((sig, salts, part))
+    sig, salts, node, n, part = (x[order] for x in (sig, salts, node, n, part))
+    cuts = np.flatnonzero(np.concatenate(([True], (part[1:] != part[:-1]) | (salts[1:] != salts[:-1]), [True])))
+    ranges = list(zip(cuts[:-1], cuts[1:]))
+    return pd.DataFrame({
+        "part": part[cuts[:-1]].astype(np.int32), "salts": salts[cuts[:-1]].astype(np.int32), "sig": [_planes(sig[s:e], 6) for s, e in ranges],
+        "node": [node[s:e].astype("<i8").tobytes() for s, e in ranges], "n": [_planes(n[s:e], 4) for s, e in ranges]})
+
+
 def _index(docs: DataFrame, sketch: np.ndarray) -> DataFrame:
-    """(sig, salt, salts, node, n) of every set, with 48 bits of each signature; a task indexes equal sets once."""
+    """The index (sig, salts, node, n) of every set, ``_packed``, with 48 bits of each signature; a task indexes equal sets once."""
     usual = int(GROUP_ROWS).bit_length() - 1
+    parts = max(PARTS, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         forget_kept()
         seen: set[int] = set()
+        columns: list[list[np.ndarray]] = [[], [], [], []]
+        entries = 0
         for f in frames:
-            for at in range(0, len(f), 200):
-                columns: list[list[np.ndarray]] = [[], [], [], []]
-                for text in f.text.iloc[at:at + 200]:
-                    shingles = shingle_set(text)
-                    if not len(shingles) or (node := set_number(shingles)) in seen:
-                        continue
-                    seen.add(node)
-                    sig, cost = signatures(shingles, sketch)
-                    for column, values in zip(columns, ((sig >> np.uint64(16)).view(np.int64), cost, np.full(len(sig), node), np.full(len(sig), len(shingles)))):
-                        column.append(values)
-                if not columns[0]:
+            for text in f.text:
+                shingles = shingle_set(text)
+                if not len(shingles) or (node := set_number(shingles)) in seen:
                     continue
-                sig, cost, node, n = map(np.concatenate, columns)
+                seen.add(node)
+                sig, cost = signatures(shingles, sketch)
                 salts = 1 << np.maximum(cost.astype(np.int64) - usual, 0)
-                yield pd.DataFrame({"sig": sig, "salt": node % salts, "salts": salts, "node": node, "n": n})
+                for column, values in zip(columns, ((sig >> np.uint64(16)).view(np.int64), salts, np.full(len(sig), node), np.full(len(sig), len(shingles)))):
+                    column.append(values)
+                entries += len(sig)
+                if entries >= PACKED:
+                    yield _packed(*map(np.concatenate, columns), parts)
+                    columns, entries = [[], [], [], []], 0
+        if entries:
+            yield _packed(*map(np.concatenate, columns), parts)
+
+    return docs.where("doc_id is not null").select("text").mapInPandas(run, "part int, salts int, sig binary, node binary, n binary")
 
-    return docs.where("doc_id is not null").select("text").mapInPandas(run, "sig long, salt int, salts int, node long, n int")
+
+def _shared(index: DataFrame) -> DataFrame:
+    """(sig, salt, salts, node, n) of the entries of the packed ``index`` whose subset another set has too.
+
+    Groups of the same members stay once in each range of signatures, under the smallest. Entries of subsets that are dealt
+    over several groups all stay.
+    """
+    def run(f: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        for salts, same in f.groupby("salts"):
+            sig, n, node = _numbers(same.sig, 6), _numbers(same.n, 4), np.frombuffer(b"".join(same.node), "<i8")
+            if salts == 1:  # most entries have a signature alone
+                _, of, rows = np.unique(sig, return_inverse=True, return_counts=True)
+                sig, node, n = (x[rows[of] > 1] for x in (sig, node, n))
+            salt = node % salts
+            order = np.lexsort((node, salt, sig))
+            sig, salt, node, n = (x[order] for x in (sig, salt, node, n))
+            starts = np.concatenate(([True], (sig[1:] != sig[:-1]) | (salt[1:] != salt[:-1])))[:len(sig)]
+            once = np.concatenate(([True], node[1:] != node[:-1]))[:len(sig)] | starts  # equal sets of several tasks
+            sig, salt, node, n, starts = (x[once] for x in (sig, salt, node, n, starts))
+            at = np.flatnonzero(starts)
+            members = np.diff(np.append(at, len(sig)))
+            if salts == 1 and len(at):
+                groups = np.flatnonzero(members > 1)
+                first, last = node[at[groups]], node[at[groups] + members[groups] - 1]
+                mark = np.add.reduceat(_mix(node.view(np.uint64)), at)[groups]
+                order = np.lexsort((mark, members[groups], last, first))
+                keys = np.stack([first, last, members[groups], mark.view(np.int64)])[:, order]
+                new = np.concatenate(([True], (keys[:, 1:] != keys[:, :-1]).any(axis=0)))[:len(order)]
+                stays = np.zeros(len(at), dtype=bool)
+                stays[groups[order[new]]] = True
+                stays = np.repeat(stays, members)
+                sig, salt, node, n = (x[stays] for x in (sig, salt, node, n))
+            out.append(pd.DataFrame({"sig": sig, "salt": salt, "salts": salts, "node": node, "n": n}))
+        return pd.concat(out)
+
+    return index.groupBy("part").applyInPandas(run, "sig long, salt int, salts int, node long, n int")
 
 
 def _met(index: DataFrame) -> DataFrame:
-    """(sig, node, n, leader, leader_n): sets that share an indexed subset, with the smallest node of their group.
+    """(sig, node, n, leader, leader_n, whole): sets that share an indexed subset, with the smallest node of their group.
 
-    Groups of the same members stay once. Subsets that are common in the corpus have their sets dealt over several groups,
+    ``whole``: the group has all sets with the subset. Groups of the same members stay once. Subsets that are common in the corpus have their sets dealt over several groups,
     whose leaders meet in turn; these groups all stay.
     """
     def groups(rows: DataFrame, keys: list[str]) -> DataFrame:
@@ -229,12 +305,13 @@ def _met(index: DataFrame) -> DataFrame:
         return met.where("leader < last or salts > 1").withColumn("x", F.bit_xor(F.xxhash64("node")).over(whole))
 
     inner = stored(groups(index, ["sig", "salt"]).drop("salt"), "groups")
-    same = ["leader", "last", "x", "node"]  # two members are told by the first two
-    once = inner.where("salts = 1").groupBy(*same).agg(*(F.min(c).alias(c) for c in ("sig", "n", "leader_n")))
+    same = [F.xxhash64("last", "x").alias("x"), "leader", "node"]
+    once = inner.where("salts = 1").groupBy(*same).agg(*(F.min(c).alias(c) for c in ("sig", "n", "leader_n"))).withColumn("whole", F.lit(True))
     common = inner.where("salts > 1")
     leaders = common.select("sig", F.col("leader").alias("node"), F.col("leader_n").alias("n"), F.lit(1).alias("salts")).distinct()
     out = ["sig", "node", "n", "leader", "leader_n"]
-    return stored(once.select(out).unionByName(common.where("leader < last").select(out)).unionByName(groups(leaders, ["sig"]).select(out)), "met")
+    dealt = common.where("leader < last").select(out).unionByName(groups(leaders, ["sig"]).select(out)).withColumn("whole", F.lit(False))
+    return stored(once.select(*out, "whole").unionByName(dealt), "met")
 
 
 def _compatible(a: str, b: str):
@@ -349,7 +426,8 @@ def _compared(rows: DataFrame, where: DataFrame, forests: int | None) -> DataFra
                 out.append(np.column_stack([pairs, doc[s:e][order][np.searchsorted(node[s:e][order], pairs)]]))
                 if len(pairs) < len(found):
                     cut.append((sig[s], sig[s], 0, 0))
-            out = np.concatenate([*out, np.array(cut, dtype=np.int64).reshape(-1, 4)])
+            out = np.unique(np.concatenate(out), axis=0)  # a pair may meet in many groups
+            out = np.concatenate([out, np.array(cut, dtype=np.int64).reshape(-1, 4)])
             return pd.DataFrame(out, columns=["a", "b", "doc_a", "doc_b"]).assign(cut=np.arange(len(out)) >= len(out) - len(cut))
 
         rest = None
@@ -365,24 +443,24 @@ def _compared(rows: DataFrame, where: DataFrame, forests: int | None) -> DataFra
     return dealt.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(run, "a long, b long, doc_a long, doc_b long, cut boolean").distinct()
 
 
-def _holders(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that may have a doc_id of ``wanted``: all that have one, and few others.
+def _holders(docs: DataFrame, wanted: DataFrame, key: str = "doc_id") -> DataFrame:
+    """The rows of ``docs`` that may have a ``key`` of ``wanted``: all that have one, and few others.
 
-    A filter of fixed size, so that texts that nobody asks for are left where they lie.
+    A filter of fixed size, so that texts and sketches that nobody asks for are left where they lie.
     """
-    at = F.pmod(F.xxhash64("doc_id"), F.lit(1 << FILTER_BITS))
+    at = F.pmod(F.xxhash64(key), F.lit(1 << FILTER_BITS))
     words = wanted.select(at.alias("at")).groupBy(F.shiftright("at", 5).alias("word")).agg(
         F.expr("bit_or(shiftleft(1L, cast(at & 31 as int))) as bits"))
     marks = np.zeros((1 << FILTER_BITS) // 32, dtype=np.int64)
-    for r in words.collect():  # as many rows at most, whatever the corpus
-        marks[r["word"]] = r["bits"]
+    found = words.toArrow()  # as many rows at most, whatever the corpus
+    marks[found["word"].to_numpy()] = found["bits"].to_numpy()
 
     @F.pandas_udf("boolean")
     def marked(at: pd.Series) -> pd.Series:
         at = at.to_numpy()
         return pd.Series((marks[at >> 5] >> (at & 31)) & 1 == 1)
 
-    return docs.where("doc_id is not null").where(marked(at))
+    return docs.where(F.col(key).isNotNull()).where(marked(at))
 
 
 def verify_pairs(docs: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -488,16 +566,18 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     """
     scanned = stored(_scan_sets(docs), "sets")
     members = scanned.where("slice is null").select("doc_id", "n", "node")
-    where = stored(scanned.where("slice is null and n > 0 and doc_id is not null").groupBy("node").agg(
-        F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("bits").alias("bits")), "nodes")
-    met = _met(_index(docs, _sketch(scanned)))
+    met = _met(_shared(_index(docs, _sketch(scanned))))
+    sets = scanned.where("slice is null and n > 0 and doc_id is not null").select("node", "doc_id", "n", "bits")
+    where = stored(_holders(sets, met, "node").groupBy("node").agg(
+        F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("bits").alias("bits")), "nodes")  # only of sets that met another
     pairs = met.where("leader != node").where(_compatible("leader_n", "n")).select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
     judged = stored(plausible_pairs(pairs, where), "plausible")
     edges = stored(verify_pairs(docs, judged), "edges")
     roots = connected_components(edges)
 
-    # Groups whose members did not all link with their leader, directly or through others: there, all that met are compared.
-    rows = met.select("sig", "node", "n")
+    # Groups whose members did not all link with their leader, directly or through others: there, all that met are compared
+    # but the leader of a whole group, whose pairs are all judged.
+    rows = met.where("node != leader or not whole").select("sig", "node", "n")
     for forests in FORESTS:
         named = rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
         within = stored(_compared(named, where, forests), "likely")
